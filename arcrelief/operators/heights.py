@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..functions.ids import with_dense_id
-from .nearest import BEST, nearest
+from ..session import materialise
+from .nearest import BEST, nearest, nearest_in_group
 from .spatial import arcs_meeting_boxes, patches_of, points_in_polygons
 from .topology import Topology, arc_ids_of
 
@@ -45,7 +46,7 @@ def nearest_patch(positions: DataFrame, patches: DataFrame, cell: float | None =
             patches, "percentile_approx(double(greatest(xmax - xmin, ymax - ymin)), 0.5) AS m"
         )
         cell = row.m or 1.0
-    best = nearest(positions.select("x", "y"), patches, float(cell), order=("patch_id",))
+    best = nearest(positions.select("x", "y"), patches, float(cell), ("patch_id",))
     return best.selectExpr("x", "y", f"{BEST}.patch_id AS patch_id", f"{BEST}.d2 AS d2")
 
 
@@ -53,25 +54,21 @@ def nearest_point_z(placed: DataFrame, points: DataFrame, patches: DataFrame) ->
     """Nearest given point of the same patch for positions (x, y, patch_id): adds d2 and z.
 
     Equal distances take the lowest z; both are NULL when the patch has none of the points.
-    Patches are searched cell by cell, with cells that hold about 32 points of an average
-    patch, so the size of a single patch does not matter.
+    Large patches are searched cell by cell, with cells that hold about 32 points of an
+    average patch, so the size of a single patch does not matter.
     """
     stats = grid.summary(
         patches, "percentile_approx(double(greatest(xmax - xmin, ymax - ymin)), 0.5) AS m",
         "avg(n) AS n",
     )
     cell = (stats.m or 1.0) / max(1.0, ((stats.n or 1.0) / 32) ** 0.5)
-    # copies of a point are merged before the shuffle by map-side aggregation
-    targets = points.groupBy("patch_id", "x", "y").agg(F.min("z").alias("z")).selectExpr(
+    targets = points.selectExpr(
         "patch_id", "z", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax"
     )
     queries = placed.select("x", "y", "patch_id")
-    served = queries.join(points.select("patch_id").distinct(), "patch_id", "left_semi")
-    best = nearest(
-        served.select(*queries.columns), targets, cell, group=("patch_id",), order=("z",)
-    )
-    found = best.selectExpr(*queries.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
-    return queries.join(found, queries.columns, "left")
+    sizes = patches.select("patch_id", "n")
+    best = nearest_in_group(queries, targets, sizes, cell, ("patch_id",), ("z",))
+    return best.selectExpr(*queries.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
 
 
 def arc_heights(
@@ -88,7 +85,7 @@ def arc_heights(
     ``require_class`` chooses among patches that have one.
     """
     wanted = points_by_class(points, classification)
-    patches = patches_of(wanted if require_class else points)
+    patches = materialise(patches_of(wanted if require_class else points))
     ids = arc_ids_of(topology.ring_arcs, types)
     vertices = arc_vertices(topology.arcs.join(ids, "arc_id", "left_semi"))
     placed = nearest_patch(vertices.select("x", "y").distinct(), patches)
@@ -103,7 +100,7 @@ def arc_heights_from_patches(arcs: DataFrame, points: DataFrame, classification:
 
     Arcs that meet no patch, or only patches without a point of the class, are left out.
     """
-    patches = patches_of(points)
+    patches = materialise(patches_of(points))
     pairs = arcs_meeting_boxes(arcs, patches, "patch_id")
     wanted = points_by_class(points, classification)
     # nearest point per vertex and patch first, then the best patch of each vertex

@@ -1,11 +1,12 @@
-"""Nearest-target joins (k = 1) by grid cells, exact at any distance.
-
-``near``: a query looks into the cells within half a cell side around it.  When the best
-target found is at most that far away, nothing closer can exist and the query is settled.
-
-``far``: the unsettled rest walks down a pyramid of ever smaller cells.  Each pyramid row
-knows the extent of its targets, so per query only cells that can still beat the best
-guaranteed distance are kept, and no query is ever paired with all targets.
+"""Nearest-target joins (k = 1), exact at any distance.
+
+* Groups of at most ``DIRECT`` targets (a patch of points) are kept as one row with an
+  array; each query evaluates the array of its group and no pairs are produced.
+* Elsewhere a query looks into the grid cells within half a cell side around it (``near``).
+  A target at most that far away settles it, as nothing closer can exist.
+* The unsettled rest walks down a pyramid of ever smaller cells (``far``).  Each pyramid
+  row knows the extent of its targets, so per query only cells that can still beat the
+  best guaranteed distance are kept, and no query is ever paired with all targets.
 """
 
 from __future__ import annotations
@@ -19,34 +20,72 @@ from ..session import materialise
 
 _STEP = 4  # side ratio between pyramid levels
 BEST = "best"
+DIRECT = 1024
 
 
 def nearest(
+    queries: DataFrame, targets: DataFrame, cell: float, order: tuple[str, ...]
+) -> DataFrame:
+    """Nearest target of each query, ties broken by the ``order`` columns.
+
+    ``queries`` has x and y without duplicates, ``targets`` an extent (xmin, ymin, xmax,
+    ymax) and the order columns.  Returns the query columns and ``best``, a struct
+    (d2, *order), NULL when there is no target.
+    """
+    return _by_cells(queries, targets, cell, (), order)
+
+
+def nearest_in_group(
     queries: DataFrame,
     targets: DataFrame,
+    sizes: DataFrame,
     cell: float,
-    group: tuple[str, ...] = (),
-    order: tuple[str, ...] = (),
+    group: tuple[str, ...],
+    order: tuple[str, ...],
 ) -> DataFrame:
-    """Nearest target of each query, ties broken by the ``order`` columns.
+    """Like ``nearest``, among the targets of the query's own group only.
 
-    ``queries`` has x, y and the group columns, without duplicates; ``targets`` has an
-    extent (xmin, ymin, xmax, ymax), the group columns and the order columns.  Only
-    targets of the same group count.  Returns the query columns and ``best``, a struct
-    (d2, *order), NULL when the group has no target.
+    ``sizes`` has one row per group with ``n``, an upper bound of its number of targets.
     """
+    keys = list(group)
+    if (grid.summary(sizes, "max(n) AS n").n or 0) <= DIRECT:
+        return _direct(queries, targets, group, order)
+    big = sizes.filter(f"n > {DIRECT}").select(*keys)
+    in_small, in_big = (
+        (queries.join(big, keys, how).select(*queries.columns), targets.join(big, keys, how))
+        for how in ("left_anti", "left_semi")
+    )
+    # copies of a target are merged before the search; they combine before the shuffle
+    extent_and_order = [*group, *g.SIDES, *order]
+    merged = in_big[1].select(*extent_and_order).distinct()
+    return _direct(*in_small, group, order).unionByName(
+        _by_cells(in_big[0], merged, cell, group, order)
+    )
+
+
+def _entry(order: tuple[str, ...], prefix: str = "") -> str:
+    b = {k: prefix + k for k in g.SIDES}
+    fields = "".join(f", '{c}', {prefix}{c}" for c in order)
+    return f"named_struct('d2', {g.box_dist2('x', 'y', b)}{fields})"
+
+
+def _direct(queries, targets, group, order) -> DataFrame:
+    blocks = targets.groupBy(*group).agg(
+        F.collect_list(F.struct(*g.SIDES, *order)).alias("_block")
+    )
+    return queries.join(blocks, list(group), "left").selectExpr(
+        *queries.columns, f"array_min(transform(_block, t -> {_entry(order, 't.')})) AS {BEST}"
+    )
+
+
+def _by_cells(queries, targets, cell, group, order) -> DataFrame:
     found = materialise(_near(queries, targets, cell, group, order))
-    settled = f"coalesce({BEST}.d2 <= {(cell / 2) ** 2!r}D, false)"
-    rest = found.filter(f"NOT {settled}").drop(BEST)
+    rest = found.filter(f"{BEST} IS NULL").drop(BEST)
     if rest.isEmpty():
         return found
-    return found.filter(settled).unionByName(_far(rest, targets, cell, group, order))
-
-
-def _best(order: tuple[str, ...]) -> str:
-    distance = g.box_dist2("x", "y", g.box())
-    fields = "".join(f", '{c}', {c}" for c in order)
-    return f"min(named_struct('d2', {distance}{fields})) AS {BEST}"
+    return found.filter(f"{BEST} IS NOT NULL").unionByName(
+        _far(rest, targets, cell, group, order)
+    )
 
 
 def _near(queries, targets, cell, group, order) -> DataFrame:
@@ -57,8 +96,8 @@ def _near(queries, targets, cell, group, order) -> DataFrame:
 
     def around(axis: str) -> str:
         return (
-            f"explode(sequence({grid.index(f'({axis} - {reach})', s)},"
-            f" {grid.index(f'({axis} + {reach})', s)})) AS c{axis}"
+            f"explode(sequence({grid.index(f'({axis} - {reach!r}D)', s)},"
+            f" {grid.index(f'({axis} + {reach!r}D)', s)})) AS c{axis}"
         )
 
     probes = (
@@ -69,10 +108,16 @@ def _near(queries, targets, cell, group, order) -> DataFrame:
     placed = grid.on_cells(
         targets.select(*group, *order, *g.SIDES).selectExpr("*", f"{level} AS level"), s, g.box()
     )
+    # of the cells a query and a target share, the first one counts
+    first = " AND ".join(
+        f"c{a} = greatest({grid.index(f'({a} - {reach!r}D)', s)}, {grid.index(f'{a}min', s)})"
+        for a in "xy"
+    )
     hits = (
         probes.join(placed, [*group, "level", "cx", "cy"])
+        .filter(f"{g.box_dist2('x', 'y', g.box())} <= {reach * reach!r}D AND {first}")
         .groupBy(*queries.columns)
-        .agg(F.expr(_best(order)))
+        .agg(F.expr(f"min({_entry(order)}) AS {BEST}"))
     )
     return queries.join(hits, queries.columns, "left")
 
@@ -129,7 +174,7 @@ def _far(rest, targets, cell, group, order) -> DataFrame:
         alive.selectExpr(*rest.columns, "px AS cx", "py AS cy")
         .join(leaves, [*group, "cx", "cy"])
         .groupBy(*rest.columns)
-        .agg(F.expr(_best(order)))
+        .agg(F.expr(f"min({_entry(order)}) AS {BEST}"))
     )
     return rest.join(hits, rest.columns, "left")
 

@@ -15,6 +15,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # keep CPU-heavy stages on small local data from collapsing into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
