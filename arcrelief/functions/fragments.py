@@ -42,7 +42,7 @@ class Fragments:
         def span(axis: str) -> str:
             lo = grid.index(f"{axis}min", grid.side())
             hi = grid.index(f"{axis}max", grid.side())
-            return f"explode(sequence({lo}, if(cut, {lo}, {hi})))"
+            return f"explode_outer(sequence({lo}, if(cut, {lo}, {hi})))"
 
         return self.rows.selectExpr("*", f"{span('x')} AS cx").selectExpr(
             "*", f"{span('y')} AS cy"
@@ -76,14 +76,14 @@ def _whole(sized: DataFrame, keys: list[str]) -> DataFrame:
 
 def _touching(lo: str, hi: str) -> str:
     """Cells whose closed interval meets [lo, hi]."""
-    return f"explode(sequence(ceil(({lo}) / {grid.side()}) - 1, floor(({hi}) / {grid.side()})))"
+    return f"explode_outer(sequence(ceil(({lo}) / {grid.side()}) - 1, floor(({hi}) / {grid.side()})))"
 
 
 def _cut(sized: DataFrame, keys: list[str], halo: float) -> DataFrame:
     s = grid.side()
     rows = (
         sized.filter(f"n_edges > {SMALL}")
-        .selectExpr(*keys, "level", f"posexplode({g.polygon_edges('rings')}) AS (i, e)")
+        .selectExpr(*keys, "level", f"posexplode_outer({g.polygon_edges('rings')}) AS (i, e)")
         .selectExpr(*keys, "level", "e", f"i div {RUN} AS run", *g.edge_bbox("e"))
         .selectExpr("*", f"{_touching(f'ymin - {halo}', f'ymax + {halo}')} AS cy")
     )
@@ -128,7 +128,7 @@ def _cut(sized: DataFrame, keys: list[str], halo: float) -> DataFrame:
     gap = "if(base = 1 AND cx - before > 1, sequence(before + 1, cx - 1), slice(array(cx), 1, 0))"
     spread = flagged.selectExpr(
         *keys, "level", "cy", "edges", "base", "pieces",
-        f"posexplode(concat(array(cx), coalesce({gap}, slice(array(cx), 1, 0)))) AS (i, cx)",
+        f"posexplode_outer(concat(array(cx), coalesce({gap}, slice(array(cx), 1, 0)))) AS (i, cx)",
     )
     return spread.selectExpr(
         *keys,

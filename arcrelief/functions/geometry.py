@@ -5,6 +5,10 @@ Points are ``struct<x,y>``, rings are open arrays of points (no closing vertex),
 a polygon is the outer one, edges are ``struct<x1,y1,x2,y2>``.  With integer coordinates
 every predicate is exact.  A box is a prefix: ``box('b_')`` stands for the four columns
 ``b_xmin, b_ymin, b_xmax, b_ymax``.
+
+Arrays that cannot be empty are exploded with the ``_outer`` forms throughout the package:
+the plain forms make the optimizer add a ``size(...) > 0`` filter, which it pushes down with
+the whole array expression inlined.
 """
 
 from __future__ import annotations

@@ -56,7 +56,7 @@ def on_cells(df: DataFrame, s: str, b: dict[str, str]) -> DataFrame:
     """Register extents in every cell of side ``s`` that they touch."""
 
     def span(axis: str) -> str:
-        return f"explode(sequence({index(b[axis + 'min'], s)}, {index(b[axis + 'max'], s)}))"
+        return f"explode_outer(sequence({index(b[axis + 'min'], s)}, {index(b[axis + 'max'], s)}))"
 
     return df.selectExpr("*", f"{span('x')} AS cx").selectExpr("*", f"{span('y')} AS cy")
 
@@ -78,7 +78,7 @@ def extent_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         # the own level first, coarser levels of the other side after it
         leveled = df.selectExpr("*", f"{extent_level(b)} AS _own").selectExpr(
             "*",
-            f"explode(concat(array(_own), filter({array_of(others)}, v -> v > _own))) AS level",
+            f"explode_outer(concat(array(_own), filter({array_of(others)}, v -> v > _own))) AS level",
         )
         return on_cells(leveled.selectExpr("*", f"level = _own AS {own}").drop("_own"), side(), b)
 

@@ -17,7 +17,7 @@ def delta_encode(arcs: DataFrame, transform: Transform) -> DataFrame:
         return f"{transform.encode(axis, f'p.{axis}')} - {before}"
 
     deltas = f"transform(points, (p, i) -> named_struct('dx', {step('x')}, 'dy', {step('y')}))"
-    return arcs.selectExpr("arc_id", f"posexplode({deltas}) AS (pos, d)").selectExpr(
+    return arcs.selectExpr("arc_id", f"posexplode_outer({deltas}) AS (pos, d)").selectExpr(
         "arc_id", "pos", "d.dx AS dx", "d.dy AS dy"
     )
 

@@ -41,7 +41,7 @@ def polygon_vertices(df: DataFrame, keys: list[str], closed: bool = False) -> Da
     """Vertex table of polygons: keys, ring, pos and the fields of the points."""
     line = g.close_ring("line") if closed else "line"
     return (
-        df.selectExpr(*keys, "posexplode(rings) AS (ring, line)")
-        .selectExpr(*keys, "ring", f"posexplode({line}) AS (pos, p)")
+        df.selectExpr(*keys, "posexplode_outer(rings) AS (ring, line)")
+        .selectExpr(*keys, "ring", f"posexplode_outer({line}) AS (pos, p)")
         .selectExpr(*keys, "ring", "pos", "p.*")
     )

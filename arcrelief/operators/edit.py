@@ -91,7 +91,7 @@ def _followers(boundary: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
     last, before = "element_at(p, -1)", "element_at(p, -2)"
     ends = directed.selectExpr(
         key, "backward",
-        "explode(array("
+        "explode_outer(array("
         f"named_struct('x', p[0].x, 'y', p[0].y, 'turn', {angle('p[0]', 'p[1]')},"
         " 'leaves', arc_id, 'arrives', CAST(NULL AS BIGINT)),"
         f"named_struct('x', {last}.x, 'y', {last}.y, 'turn', {angle(last, before)},"
@@ -121,7 +121,7 @@ def vertex_effective_area(arcs: DataFrame) -> DataFrame:
     return (
         arcs.selectExpr(
             "arc_id",
-            f"posexplode(transform(points, (p, i) -> if({ends}, CAST(NULL AS DOUBLE), {area})))"
+            f"posexplode_outer(transform(points, (p, i) -> if({ends}, CAST(NULL AS DOUBLE), {area})))"
             " AS (pos, area)",
         )
         .filter("area IS NOT NULL")

@@ -21,7 +21,7 @@ def points_by_class(points: DataFrame, classification: int) -> DataFrame:
 
 def arc_vertices(arcs: DataFrame) -> DataFrame:
     """One row per arc vertex: arc_id, pos, x, y (and z when the points have one)."""
-    return arcs.selectExpr("arc_id", "posexplode(points) AS (pos, p)").selectExpr(
+    return arcs.selectExpr("arc_id", "posexplode_outer(points) AS (pos, p)").selectExpr(
         "arc_id", "pos", "p.*"
     )
 

@@ -96,7 +96,7 @@ def _near(queries, targets, cell, group, order) -> DataFrame:
 
     def around(axis: str) -> str:
         return (
-            f"explode(sequence({grid.index(f'({axis} - {reach!r}D)', s)},"
+            f"explode_outer(sequence({grid.index(f'({axis} - {reach!r}D)', s)},"
             f" {grid.index(f'({axis} + {reach!r}D)', s)})) AS c{axis}"
         )
 

@@ -49,7 +49,7 @@ def points_in_polygons(
         .agg(F.expr("sum(_n) AS _n"), F.expr("min(_d2) AS _d2"), F.expr("count(*) AS _rows"))
         .selectExpr("*", "int(_rows div pieces) AS _copies")
         .filter(accepted("_n div _copies"))
-        .selectExpr("*", "explode(sequence(1, _copies)) AS _copy")
+        .selectExpr("*", "explode_outer(sequence(1, _copies)) AS _copy")
         .select(*out)
     )
     return whole.unionByName(pieced)
@@ -115,7 +115,7 @@ def _first_vertex_inside(
 
 def arcs_meeting_boxes(arcs: DataFrame, boxes: DataFrame, box_id: str) -> DataFrame:
     """Distinct (arc, box) pairs that share a point; ``arcs`` has arc_id and points."""
-    edges = arcs.selectExpr("arc_id", f"explode({g.path_edges('points')}) AS e").selectExpr(
+    edges = arcs.selectExpr("arc_id", f"explode_outer({g.path_edges('points')}) AS e").selectExpr(
         "*", *g.edge_bbox("e")
     )
     return (

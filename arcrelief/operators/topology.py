@@ -98,13 +98,13 @@ def clean_rings(features: DataFrame) -> DataFrame:
 def ring_vertices(entities: DataFrame, *extra: str) -> DataFrame:
     """One row per ring vertex with its cyclic neighbours (px, py) and (nx, ny)."""
     return (
-        entities.selectExpr("entity_id", *extra, "posexplode(rings) AS (ring, line)")
+        entities.selectExpr("entity_id", *extra, "posexplode_outer(rings) AS (ring, line)")
         .selectExpr(
             "entity_id", *extra, "ring", "line",
             f"{g.rotate('line', '(size(line) - 1)')} AS before", f"{g.rotate('line', '1')} AS after",
         )
         .selectExpr(
-            "entity_id", *extra, "ring", "posexplode(arrays_zip(line, before, after)) AS (pos, v)"
+            "entity_id", *extra, "ring", "posexplode_outer(arrays_zip(line, before, after)) AS (pos, v)"
         )
         .selectExpr(
             "entity_id", *extra, "ring", "pos", "v.line.x AS x", "v.line.y AS y",
@@ -158,7 +158,7 @@ def _pieces(entities: DataFrame) -> DataFrame:
         "transform(nodes, (n, i) -> slice(concat(line, line), n + 1, if(i = size(nodes) - 1,"
         " nodes[0] + size(line), nodes[i + 1]) - n + 1))"
     )
-    cut = rings.filter("size(nodes) > 0").selectExpr(*keys, f"posexplode({stretch}) AS (pos, line)")
+    cut = rings.filter("size(nodes) > 0").selectExpr(*keys, f"posexplode_outer({stretch}) AS (pos, line)")
     cut = cut.selectExpr(*keys, "pos", "line", "least(line, reverse(line)) AS points")
     # a ring without junctions is one closed arc starting at its least point
     def anchored(line: str) -> str:
@@ -203,7 +203,7 @@ def build_topology(features: DataFrame, q: float = 0) -> Topology:
     )
     arcs = with_dense_id(arcs, ["first_use"], "arc_id")
     sides = entities.selectExpr(
-        "entity_id", *ENTITY_KEYS, "type", "posexplode(rings) AS (ring, line)"
+        "entity_id", *ENTITY_KEYS, "type", "posexplode_outer(rings) AS (ring, line)"
     ).selectExpr(
         "entity_id", *ENTITY_KEYS, "type", "ring",
         f"({g.double_area('line')} > 0) = (ring = 0) AS interior_left",

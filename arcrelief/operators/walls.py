@@ -20,7 +20,7 @@ def shared_walls(
     """
 
     def edges(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        flat = df.selectExpr(*keys, f"explode({g.polygon_edges('rings')}) AS {name}")
+        flat = df.selectExpr(*keys, f"explode_outer({g.polygon_edges('rings')}) AS {name}")
         return flat.selectExpr("*", *g.edge_bbox(name))
 
     pairs = grid.extent_pairs(edges(terrain, terrain_keys, "e"), edges(buildings, building_keys, "f"))
@@ -59,7 +59,7 @@ def wall_segments(arcs: DataFrame, ring_arcs: DataFrame, terrain: str, building:
     return (
         walls.join(arcs.select("arc_id", "points"), "arc_id")
         .selectExpr(
-            "arc_id", "entity_a", "entity_b", f"posexplode({g.path_edges('points')}) AS (pos, e)"
+            "arc_id", "entity_a", "entity_b", f"posexplode_outer({g.path_edges('points')}) AS (pos, e)"
         )
         .selectExpr("arc_id", "entity_a", "entity_b", "pos", "e.*")
     )
@@ -84,7 +84,7 @@ def inset_rings(df: DataFrame, keys: list[str], distance: float) -> DataFrame:
         for v in "xy"
     )
     return (
-        df.selectExpr(*keys, "posexplode(rings) AS (ring, line)")
+        df.selectExpr(*keys, "posexplode_outer(rings) AS (ring, line)")
         # the inside is on the left of a counter-clockwise outer ring or clockwise hole
         .selectExpr(
             "*", f"if(({g.double_area('line')} > 0) = (ring = 0), {d}, -{d}) AS shift",

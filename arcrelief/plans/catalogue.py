@@ -204,7 +204,7 @@ def arc_bbox(spark, d):
 def arc_lines(spark, d):
     lines = arc_ops.arc_lines(store(spark, d).topology.arcs).select("arc_id", "length", "points")
     return _rounded(
-        lines.selectExpr("arc_id", "length", "posexplode(points) AS (pos, p)").selectExpr(
+        lines.selectExpr("arc_id", "length", "posexplode_outer(points) AS (pos, p)").selectExpr(
             "arc_id", "length", "pos", "p.x AS x", "p.y AS y"
         ), "length",
     )
@@ -277,7 +277,7 @@ def arcs_update(spark, d):
 def raised_arcs(spark, d):
     raised = store(spark, d).raised[0]
     return _rounded(
-        raised.selectExpr("arc_id", "source_arc_id", "posexplode(points) AS (pos, p)").selectExpr(
+        raised.selectExpr("arc_id", "source_arc_id", "posexplode_outer(points) AS (pos, p)").selectExpr(
             "arc_id", "source_arc_id", "pos", "p.*"
         ), "z",
     )
@@ -290,7 +290,7 @@ def raised_ring_arcs(spark, d):
 def rings(spark, d):
     t = store(spark, d).topology
     return assemble.rings(t.ring_arcs, t.arcs).selectExpr(
-        "entity_id", "ring", "posexplode(line) AS (pos, p)"
+        "entity_id", "ring", "posexplode_outer(line) AS (pos, p)"
     ).selectExpr("entity_id", "ring", "pos", "p.*")
 
 
@@ -367,7 +367,7 @@ def _footprints(spark, d) -> DataFrame:
 
 def inset_rings(spark, d):
     moved = walls.inset_rings(derived.features(spark, d), ["source", "gid"], derived.INSET)
-    flat = moved.selectExpr("source", "gid", "ring", "posexplode(line) AS (pos, p)").selectExpr(
+    flat = moved.selectExpr("source", "gid", "ring", "posexplode_outer(line) AS (pos, p)").selectExpr(
         "source", "gid", "ring", "pos", "p.*"
     )
     return _rounded(flat, "x", "y")
@@ -392,7 +392,7 @@ def closest_on_boundary(spark, d):
 
 def wall_quads(spark, d):
     quads = walls.wall_quads(_closest(spark, d), ["arc_id", "pos", "entity_b"])
-    flat = quads.selectExpr("arc_id", "pos", "entity_b", "posexplode(wall) AS (corner, p)")
+    flat = quads.selectExpr("arc_id", "pos", "entity_b", "posexplode_outer(wall) AS (corner, p)")
     return _rounded(flat.selectExpr("arc_id", "pos", "entity_b", "corner", "p.*"), "x", "y")
 
 

@@ -75,7 +75,7 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _cells(spark, sf_dir)
         .filter("shape != 'none'")
-        .selectExpr("k", f"posexplode(CASE shape {_by_shape(per_shape)} END) AS (i, rings)")
+        .selectExpr("k", f"posexplode_outer(CASE shape {_by_shape(per_shape)} END) AS (i, rings)")
         .selectExpr(
             "'pand' AS source", "k + 1000000L * i AS gid", "0 AS part", "'pand' AS type", "rings"
         )

@@ -43,6 +43,7 @@ def from_features(df: DataFrame, column: str, properties: str) -> DataFrame:
     )
     ring = "transform(slice(ring, 1, size(ring) - 1), p -> named_struct('x', p[0], 'y', p[1]))"
     kept = [c for c in parsed.columns if c not in ("kind", "coordinates")]
-    return parsed.selectExpr(*kept, f"posexplode({parts}) AS (part, polygon)").selectExpr(
+    known = parsed.filter("kind IN ('Polygon', 'MultiPolygon')")
+    return known.selectExpr(*kept, f"posexplode_outer({parts}) AS (part, polygon)").selectExpr(
         *kept, "part", f"transform(polygon, ring -> {ring}) AS rings"
     )
