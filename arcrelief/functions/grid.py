@@ -61,18 +61,24 @@ def on_cells(df: DataFrame, s: str, b: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", f"{span('x')} AS cx").selectExpr("*", f"{span('y')} AS cy")
 
 
-def extent_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+def extent_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    left_levels: list[int] | None = None,
+    right_levels: list[int] | None = None,
+) -> DataFrame:
     """All pairs of rows with overlapping closed extents, each exactly once.
 
     Both sides have ``xmin, ymin, xmax, ymax``; those of the right side come back as
     ``r_xmin`` and so on, other column names must differ.  A pair meets on the coarser of
     its two levels: each side is also registered on the coarser levels of the other one.
     Of the cells a pair shares only that of the lower left corner of the overlap counts.
+    Levels that the caller knows already need not be fetched again.
     """
     right = right.selectExpr(*[f"{c} AS r_{c}" if c in g.SIDES else c for c in right.columns])
     lbox, rbox = g.box(), g.box("r_")
-    llevels = levels_of(left, extent_level(lbox))
-    rlevels = levels_of(right, extent_level(rbox))
+    llevels = levels_of(left, extent_level(lbox)) if left_levels is None else left_levels
+    rlevels = levels_of(right, extent_level(rbox)) if right_levels is None else right_levels
 
     def registered(df: DataFrame, b: dict[str, str], others: list[int], own: str) -> DataFrame:
         # the own level first, coarser levels of the other side after it

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import grid
-from ..functions.fragments import fragments
+from ..functions.fragments import Fragments, fragments
 
 KEYS = ["source", "gid"]
 
@@ -20,7 +20,12 @@ def points_in_polygons(
     Borders count as inside.  With ``erosion`` a point must instead lie at least that far
     from the border, which stands for shrinking the polygon first.
     """
-    cut = fragments(features, keys, halo=erosion)
+    return _points_in(points, fragments(features, keys, halo=erosion), keys, erosion)
+
+
+def _points_in(
+    points: DataFrame, cut: Fragments, keys: list[str], erosion: float = 0
+) -> DataFrame:
     hits = (
         grid.on_levels(points, cut.levels)
         .join(cut.on_cells(), ["level", "cx", "cy"])
@@ -63,7 +68,10 @@ def polygons_meeting_boxes(
     b = g.box("r_")
     # if no edge meets the box it is all inside or all outside: one point decides
     x, y = "greatest(xmin, r_xmin)", "greatest(ymin, r_ymin)"
-    pairs = grid.extent_pairs(cut.rows.drop("level"), boxes.select(box_id, *g.SIDES)).selectExpr(
+    extents = grid.extent_pairs(
+        cut.rows.drop("level"), boxes.select(box_id, *g.SIDES), left_levels=cut.levels
+    )
+    pairs = extents.selectExpr(
         *keys, box_id, "xmin", "ymin", "base", "pieces",
         f"exists(edges, e -> {g.edge_meets_box('e', b)}) AS _touch",
         f"{g.crossings('edges', x, y, 'ref_x', 'ref_y')} AS _n",
@@ -90,27 +98,23 @@ def polygon_pairs(
     Either two edges meet, or no edge does and one polygon lies inside the other.  Key
     names of the two sides must differ.
     """
-    a = fragments(left, left_keys).rows.select(*left_keys, *g.SIDES, "edges")
-    b = fragments(right, right_keys).rows.select(
-        *right_keys, *g.SIDES, F.col("edges").alias("r_edges")
-    )
+    a, b = fragments(left, left_keys), fragments(right, right_keys)
     out = [*left_keys, *right_keys]
-    borders = grid.extent_pairs(a, b).filter(
-        f"exists(edges, p -> exists(r_edges, q -> {g.edges_meet('p', 'q')}))"
-    )
+    borders = grid.extent_pairs(
+        a.rows.select(*left_keys, *g.SIDES, "edges"),
+        b.rows.select(*right_keys, *g.SIDES, F.col("edges").alias("r_edges")),
+        a.levels, b.levels,
+    ).filter(f"exists(edges, p -> exists(r_edges, q -> {g.edges_meet('p', 'q')}))")
     return (
         borders.select(*out)
-        .unionByName(_first_vertex_inside(left, right, left_keys, right_keys).select(*out))
-        .unionByName(_first_vertex_inside(right, left, right_keys, left_keys).select(*out))
+        .unionByName(_points_in(_first_vertices(left, left_keys), b, right_keys).select(*out))
+        .unionByName(_points_in(_first_vertices(right, right_keys), a, left_keys).select(*out))
         .distinct()
     )
 
 
-def _first_vertex_inside(
-    inner: DataFrame, outer: DataFrame, inner_keys: list[str], outer_keys: list[str]
-) -> DataFrame:
-    first = inner.selectExpr(*inner_keys, "rings[0][0].x AS x", "rings[0][0].y AS y")
-    return points_in_polygons(first, outer, outer_keys)
+def _first_vertices(features: DataFrame, keys: list[str]) -> DataFrame:
+    return features.selectExpr(*keys, "rings[0][0].x AS x", "rings[0][0].y AS y")
 
 
 def arcs_meeting_boxes(arcs: DataFrame, boxes: DataFrame, box_id: str) -> DataFrame:

@@ -29,9 +29,21 @@ class Store:
     spark: SparkSession
     sf_dir: str
 
+    @cached_property
+    def features(self) -> DataFrame:
+        return materialise(derived.features(self.spark, self.sf_dir))
+
+    @property
+    def parcels(self) -> DataFrame:
+        return self.features.filter("source = 'parcel'")
+
+    @property
+    def buildings(self) -> DataFrame:
+        return self.features.filter("source = 'pand'")
+
     @cached_property
     def topology(self) -> topology.Topology:
-        return topology.build_topology(derived.features(self.spark, self.sf_dir))
+        return topology.build_topology(self.features)
 
     @cached_property
     def terrain(self) -> DataFrame:
@@ -89,37 +101,37 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def features_geojson(spark, d):
     keys = ["source", "gid", "type"]
-    documents = geojson.to_features(derived.features(spark, d), keys)
+    documents = geojson.to_features(store(spark, d).features, keys)
     parsed = geojson.from_features(documents, "feature", "source STRING, gid BIGINT, type STRING")
     return assemble.polygon_vertices(parsed, [*keys, "part"], closed=True)
 
 
 def topology_rows(spark, d):
-    return arc_ops.topology_rows(topology.build_topology(derived.features(spark, d), Q))
+    return arc_ops.topology_rows(topology.build_topology(store(spark, d).features, Q))
 
 
 def clip_features(spark, d):
-    clipped = spatial.in_box(derived.features(spark, d), derived.CLIP_BOX)
+    clipped = spatial.in_box(store(spark, d).features, derived.CLIP_BOX)
     return clipped.select("source", "gid", "type")
 
 
 def points_by_class(spark, d):
-    return heights.points_by_class(derived.points(spark, d), heights.GROUND)
+    return heights.points_by_class(store(spark, d).points, heights.GROUND)
 
 
 def patch_stats(spark, d):
-    return spatial.patches_of(derived.points(spark, d))
+    return spatial.patches_of(store(spark, d).points)
 
 
 def ground_points_in_box(spark, d):
-    points = derived.points(spark, d)
+    points = store(spark, d).points
     ground = heights.points_by_class(points, heights.GROUND)
     return mesh.points_in_box(ground, spatial.patches_of(points), GROUND_BOX)
 
 
 def polygon_patch_join(spark, d):
     s = store(spark, d)
-    return spatial.polygons_meeting_boxes(derived.features(spark, d), s.patches, "patch_id")
+    return spatial.polygons_meeting_boxes(store(spark, d).features, s.patches, "patch_id")
 
 
 def arc_patch_join(spark, d):
@@ -128,26 +140,26 @@ def arc_patch_join(spark, d):
 
 
 def polygon_polygon_join(spark, d):
-    parcels = derived.parcels(spark, d).selectExpr("gid AS parcel", "rings")
-    buildings = derived.buildings(spark, d).selectExpr("gid AS building", "rings")
+    parcels = store(spark, d).parcels.selectExpr("gid AS parcel", "rings")
+    buildings = store(spark, d).buildings.selectExpr("gid AS building", "rings")
     return spatial.polygon_pairs(parcels, buildings, ["parcel"], ["building"])
 
 
 def points_in_polygon(spark, d):
-    roof = heights.points_by_class(derived.points(spark, d), heights.ROOF)
-    return spatial.points_in_polygons(roof, derived.buildings(spark, d))
+    roof = heights.points_by_class(store(spark, d).points, heights.ROOF)
+    return spatial.points_in_polygons(roof, store(spark, d).buildings)
 
 
 def roof_points(spark, d):
     return heights.roof_points(
-        derived.points(spark, d), derived.buildings(spark, d), derived.EROSION
+        store(spark, d).points, store(spark, d).buildings, derived.EROSION
     )
 
 
 def roof_height(spark, d):
     return _rounded(
         heights.roof_height(
-            derived.points(spark, d), derived.buildings(spark, d), derived.EROSION
+            store(spark, d).points, store(spark, d).buildings, derived.EROSION
         ), "z",
     )
 
@@ -156,22 +168,22 @@ def roof_height_rebuilt(spark, d):
     t = store(spark, d).topology
     rebuilt = assemble.polygons(t.ring_arcs.filter(pipeline.BUILDING), t.arcs)
     return _rounded(
-        heights.roof_height(derived.points(spark, d), rebuilt, derived.EROSION, ("entity_id", "gid")),
+        heights.roof_height(store(spark, d).points, rebuilt, derived.EROSION, ("entity_id", "gid")),
         "z",
     )
 
 
 def quantize_transform(spark, d):
-    return topology.quantize_transform(derived.features(spark, d), 1e9)
+    return topology.quantize_transform(store(spark, d).features, 1e9)
 
 
 def junctions(spark, d):
-    entities = derived.features(spark, d).selectExpr("*", "gid AS entity_id")
+    entities = store(spark, d).features.selectExpr("*", "gid AS entity_id")
     return topology.junctions(entities)
 
 
 def topology_arcs(spark, d):
-    t = topology.build_topology(derived.features(spark, d))
+    t = topology.build_topology(store(spark, d).features)
     return _rounded(arc_ops.arc_lines(t.arcs).drop("points"), "length")
 
 
@@ -211,7 +223,7 @@ def arc_lines(spark, d):
 
 
 def _transform(spark, d) -> topology.Transform:
-    row = topology.quantize_transform(derived.features(spark, d), Q).first()
+    row = topology.quantize_transform(store(spark, d).features, Q).first()
     return topology.Transform(row.kx, row.ky, row.dx, row.dy)
 
 
@@ -345,8 +357,8 @@ def simplify_arcs(spark, d):
 
 
 def shared_walls(spark, d):
-    parcels = derived.parcels(spark, d).selectExpr("gid AS parcel", "rings")
-    buildings = derived.buildings(spark, d).selectExpr("gid AS building", "rings")
+    parcels = store(spark, d).parcels.selectExpr("gid AS parcel", "rings")
+    buildings = store(spark, d).buildings.selectExpr("gid AS building", "rings")
     return walls.shared_walls(parcels, buildings, ["parcel"], ["building"])
 
 
@@ -366,7 +378,7 @@ def _footprints(spark, d) -> DataFrame:
 
 
 def inset_rings(spark, d):
-    moved = walls.inset_rings(derived.features(spark, d), ["source", "gid"], derived.INSET)
+    moved = walls.inset_rings(store(spark, d).features, ["source", "gid"], derived.INSET)
     flat = moved.selectExpr("source", "gid", "ring", "posexplode_outer(line) AS (pos, p)").selectExpr(
         "source", "gid", "ring", "pos", "p.*"
     )
