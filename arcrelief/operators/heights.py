@@ -51,8 +51,9 @@ def nearest_patch(positions: DataFrame, patches: DataFrame, cell: float | None =
 
 
 def nearest_point_z(placed: DataFrame, points: DataFrame, patches: DataFrame) -> DataFrame:
-    """Nearest given point of the same patch for positions (x, y, patch_id): adds d2 and z.
+    """Nearest given point of the same patch for rows (x, y, patch_id, ...): adds d2 and z.
 
+    Rows must be distinct.
     Equal distances take the lowest z; both are NULL when the patch has none of the points.
     Large patches are searched cell by cell, with cells that hold about 32 points of an
     average patch, so the size of a single patch does not matter.
@@ -62,13 +63,10 @@ def nearest_point_z(placed: DataFrame, points: DataFrame, patches: DataFrame) ->
         "avg(n) AS n",
     )
     cell = (stats.m or 1.0) / max(1.0, ((stats.n or 1.0) / 32) ** 0.5)
-    targets = points.selectExpr(
-        "patch_id", "z", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax"
-    )
-    queries = placed.select("x", "y", "patch_id")
+    targets = points.select("patch_id", "x", "y", "z")
     sizes = patches.select("patch_id", "n")
-    best = nearest_in_group(queries, targets, sizes, cell, ("patch_id",), ("z",))
-    return best.selectExpr(*queries.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
+    best = nearest_in_group(placed, targets, sizes, cell, ("patch_id",), ("z",))
+    return best.selectExpr(*placed.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
 
 
 def arc_heights(
@@ -89,7 +87,7 @@ def arc_heights(
     ids = arc_ids_of(topology.ring_arcs, types)
     vertices = arc_vertices(topology.arcs.join(ids, "arc_id", "left_semi"))
     placed = nearest_patch(vertices.select("x", "y").distinct(), patches)
-    heights = nearest_point_z(placed, wanted, patches).select("x", "y", "z")
+    heights = nearest_point_z(placed.drop("d2"), wanted, patches).select("x", "y", "z")
     return vertices.join(heights, ["x", "y"], "left").selectExpr(
         "arc_id", "pos", "x", "y", "coalesce(double(z), 0.0D) AS z"
     )
@@ -104,11 +102,10 @@ def arc_heights_from_patches(arcs: DataFrame, points: DataFrame, classification:
     pairs = arcs_meeting_boxes(arcs, patches, "patch_id")
     wanted = points_by_class(points, classification)
     # nearest point per vertex and patch first, then the best patch of each vertex
-    vertices = arc_vertices(arcs)
-    placed = vertices.join(pairs, "arc_id")
-    z = nearest_point_z(placed.select("x", "y", "patch_id").distinct(), wanted, patches)
+    placed = arc_vertices(arcs).join(pairs, "arc_id")
     return (
-        placed.join(z.filter("d2 IS NOT NULL"), ["x", "y", "patch_id"])
+        nearest_point_z(placed, wanted, patches)
+        .filter("d2 IS NOT NULL")
         .groupBy("arc_id", "pos", "x", "y")
         .agg(F.expr("double(min(named_struct('d2', d2, 'z', z)).z) AS z"))
     )

@@ -21,6 +21,7 @@ from ..session import materialise
 _STEP = 4  # side ratio between pyramid levels
 BEST = "best"
 DIRECT = 1024
+BOX_DISTANCE = g.box_dist2("x", "y", g.box())
 
 
 def nearest(
@@ -43,7 +44,7 @@ def nearest_in_group(
     group: tuple[str, ...],
     order: tuple[str, ...],
 ) -> DataFrame:
-    """Like ``nearest``, among the targets of the query's own group only.
+    """Like ``nearest`` for point targets (x, y), among those of the query's own group only.
 
     ``sizes`` has one row per group with ``n``, an upper bound of its number of targets.
     """
@@ -56,25 +57,25 @@ def nearest_in_group(
         for how in ("left_anti", "left_semi")
     )
     # copies of a target are merged before the search; they combine before the shuffle
-    extent_and_order = [*group, *g.SIDES, *order]
-    merged = in_big[1].select(*extent_and_order).distinct()
+    merged = in_big[1].select(*group, "x", "y", *order).distinct()
+    extents = merged.selectExpr(
+        *group, *order, "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax"
+    )
     return _direct(*in_small, group, order).unionByName(
-        _by_cells(in_big[0], merged, cell, group, order)
+        _by_cells(in_big[0], extents, cell, group, order)
     )
 
 
-def _entry(order: tuple[str, ...], prefix: str = "") -> str:
-    b = {k: prefix + k for k in g.SIDES}
+def _entry(distance: str, order: tuple[str, ...], prefix: str = "") -> str:
     fields = "".join(f", '{c}', {prefix}{c}" for c in order)
-    return f"named_struct('d2', {g.box_dist2('x', 'y', b)}{fields})"
+    return f"named_struct('d2', {distance}{fields})"
 
 
 def _direct(queries, targets, group, order) -> DataFrame:
-    blocks = targets.groupBy(*group).agg(
-        F.collect_list(F.struct(*g.SIDES, *order)).alias("_block")
-    )
+    blocks = targets.groupBy(*group).agg(F.collect_list(F.struct("x", "y", *order)).alias("_block"))
+    entry = _entry(f"double({g.dist2('x', 'y', 't.x', 't.y')})", order, "t.")
     return queries.join(blocks, list(group), "left").selectExpr(
-        *queries.columns, f"array_min(transform(_block, t -> {_entry(order, 't.')})) AS {BEST}"
+        *queries.columns, f"array_min(transform(_block, t -> {entry})) AS {BEST}"
     )
 
 
@@ -115,9 +116,9 @@ def _near(queries, targets, cell, group, order) -> DataFrame:
     )
     hits = (
         probes.join(placed, [*group, "level", "cx", "cy"])
-        .filter(f"{g.box_dist2('x', 'y', g.box())} <= {reach * reach!r}D AND {first}")
+        .filter(f"{BOX_DISTANCE} <= {reach * reach!r}D AND {first}")
         .groupBy(*queries.columns)
-        .agg(F.expr(f"min({_entry(order)}) AS {BEST}"))
+        .agg(F.expr(f"min({_entry(BOX_DISTANCE, order)}) AS {BEST}"))
     )
     return queries.join(hits, queries.columns, "left")
 
@@ -161,7 +162,7 @@ def _far(rest, targets, cell, group, order) -> DataFrame:
             alive.join(cells, [*group, "px", "py"])
             .selectExpr(
                 *rest.columns, "cx AS px", "cy AS py", "bound",
-                f"{g.box_dist2('x', 'y', g.box())} AS low",
+                f"{BOX_DISTANCE} AS low",
                 f"{g.box_far2('x', 'y', g.box())} AS high",
             )
             .withColumn("bound", F.least("bound", F.min("high").over(mine)))
@@ -174,7 +175,7 @@ def _far(rest, targets, cell, group, order) -> DataFrame:
         alive.selectExpr(*rest.columns, "px AS cx", "py AS cy")
         .join(leaves, [*group, "cx", "cy"])
         .groupBy(*rest.columns)
-        .agg(F.expr(f"min({_entry(order)}) AS {BEST}"))
+        .agg(F.expr(f"min({_entry(BOX_DISTANCE, order)}) AS {BEST}"))
     )
     return rest.join(hits, rest.columns, "left")
 

@@ -249,7 +249,8 @@ def nearest_patch(spark, d):
 def nearest_point_z(spark, d):
     s = store(spark, d)
     ground = heights.points_by_class(s.points, heights.GROUND)
-    found = heights.nearest_point_z(nearest_patch(spark, d), ground, s.patches)
+    placed = nearest_patch(spark, d).drop("d2")
+    found = heights.nearest_point_z(placed, ground, s.patches)
     return found.withColumn("z", F.col("z").cast("double"))
 
 
