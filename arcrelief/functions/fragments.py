@@ -37,16 +37,20 @@ class Fragments:
     in_pieces: bool
 
     def on_cells(self) -> DataFrame:
-        """Registered in grid cells; a cut fragment is its own (half-open) cell."""
+        """Registered in grid cells; a cut fragment is its own (half-open) cell.
+
+        The box comes back with the prefix ``f_``.
+        """
 
         def span(axis: str) -> str:
             lo = grid.index(f"{axis}min", grid.side())
             hi = grid.index(f"{axis}max", grid.side())
             return f"explode_outer(sequence({lo}, if(cut, {lo}, {hi})))"
 
-        return self.rows.selectExpr("*", f"{span('x')} AS cx").selectExpr(
+        celled = self.rows.selectExpr("*", f"{span('x')} AS cx").selectExpr(
             "*", f"{span('y')} AS cy"
-        ).drop(*g.SIDES)
+        )
+        return celled.withColumnsRenamed({k: f"f_{k}" for k in g.SIDES})
 
 
 def fragments(features: DataFrame, keys: list[str], halo: float = 0.0) -> Fragments:

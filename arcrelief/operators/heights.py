@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import grid
 from ..functions.ids import with_dense_id
 from ..session import materialise
-from .nearest import BEST, nearest, nearest_in_group
+from .nearest import BEST, TO_POINT, nearest, nearest_in_group
 from .spatial import arcs_meeting_boxes, patches_of, points_in_polygons
 from .topology import Topology, arc_ids_of
 
@@ -55,17 +55,12 @@ def nearest_point_z(placed: DataFrame, points: DataFrame, patches: DataFrame) ->
 
     Rows must be distinct.
     Equal distances take the lowest z; both are NULL when the patch has none of the points.
-    Large patches are searched cell by cell, with cells that hold about 32 points of an
-    average patch, so the size of a single patch does not matter.
+    Large patches are searched cell by cell, so the size of a patch does not matter.
     """
-    stats = grid.summary(
-        patches, "percentile_approx(double(greatest(xmax - xmin, ymax - ymin)), 0.5) AS m",
-        "avg(n) AS n",
+    targets = points.selectExpr(
+        "patch_id", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax", "z"
     )
-    cell = (stats.m or 1.0) / max(1.0, ((stats.n or 1.0) / 32) ** 0.5)
-    targets = points.select("patch_id", "x", "y", "z")
-    sizes = patches.select("patch_id", "n")
-    best = nearest_in_group(placed, targets, sizes, cell, ("patch_id",), ("z",))
+    best = nearest_in_group(placed, targets, patches, ("patch_id",), ("z",), TO_POINT)
     return best.selectExpr(*placed.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
 
 
@@ -111,6 +106,11 @@ def arc_heights_from_patches(arcs: DataFrame, points: DataFrame, classification:
     )
 
 
+def arcs_without_heights(arcs: DataFrame, heights: DataFrame) -> DataFrame:
+    """Arcs that an update would leave as they are, e.g. those that meet no patch."""
+    return arcs.join(heights.select("arc_id").distinct(), "arc_id", "left_anti")
+
+
 def arc_ground_points(arcs: DataFrame, points: DataFrame, classification: int) -> DataFrame:
     """Number and height range of the points of a class in the patches an arc meets.
 

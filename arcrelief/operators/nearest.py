@@ -1,16 +1,23 @@
 """Nearest-target joins (k = 1), exact at any distance.
 
-* Groups of at most ``DIRECT`` targets (a patch of points) are kept as one row with an
-  array; each query evaluates the array of its group and no pairs are produced.
+* Groups of at most ``DIRECT`` targets (a patch of points, the edges of a building) are kept
+  as one row with an array; each query evaluates the array of its group and no pairs are
+  produced.
 * Elsewhere a query looks into the grid cells within half a cell side around it (``near``).
   A target at most that far away settles it, as nothing closer can exist.
 * The unsettled rest walks down a pyramid of ever smaller cells (``far``).  Each pyramid
   row knows the extent of its targets, so per query only cells that can still beat the
   best guaranteed distance are kept, and no query is ever paired with all targets.
+
+Targets have an extent (xmin, ymin, xmax, ymax); the distance may be that to the extent or
+to something inside it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,84 +28,121 @@ from ..session import materialise
 _STEP = 4  # side ratio between pyramid levels
 BEST = "best"
 DIRECT = 1024
-BOX_DISTANCE = g.box_dist2("x", "y", g.box())
+PER_CELL = 32
+
+
+@dataclass(frozen=True)
+class Distance:
+    """Squared distance from (x, y) to a target, as SQL over columns with a prefix."""
+
+    sql: Callable[[str], str]
+    columns: tuple[str, ...]
+
+
+TO_BOX = Distance(lambda p: g.box_dist2("x", "y", {k: p + k for k in g.SIDES}), g.SIDES)
+TO_POINT = Distance(
+    lambda p: f"double({g.dist2('x', 'y', p + 'xmin', p + 'ymin')})", ("xmin", "ymin")
+)
+TO_EDGE = Distance(lambda p: g.edge_dist2(p + "e", "x", "y"), ("e",))
 
 
 def nearest(
-    queries: DataFrame, targets: DataFrame, cell: float, order: tuple[str, ...]
+    queries: DataFrame,
+    targets: DataFrame,
+    cell: float,
+    order: tuple[str, ...],
+    distance: Distance = TO_BOX,
 ) -> DataFrame:
     """Nearest target of each query, ties broken by the ``order`` columns.
 
-    ``queries`` has x and y without duplicates, ``targets`` an extent (xmin, ymin, xmax,
-    ymax) and the order columns.  Returns the query columns and ``best``, a struct
-    (d2, *order), NULL when there is no target.
+    ``queries`` has x and y; its rows must be distinct.  Returns the query columns and
+    ``best``, a struct (d2, *order), NULL when there is no target.
     """
-    return _by_cells(queries, targets, cell, (), order)
+    side = f"{float(cell)!r}D AS _cell"
+    found = _by_cells(
+        queries.selectExpr("*", side), _merged(targets, (), order, distance).selectExpr("*", side),
+        (), order, distance,
+    )
+    return found.drop("_cell")
 
 
 def nearest_in_group(
     queries: DataFrame,
     targets: DataFrame,
     sizes: DataFrame,
-    cell: float,
     group: tuple[str, ...],
     order: tuple[str, ...],
+    distance: Distance,
 ) -> DataFrame:
-    """Like ``nearest`` for point targets (x, y), among those of the query's own group only.
+    """Like ``nearest``, among the targets of the query's own group only.
 
-    ``sizes`` has one row per group with ``n``, an upper bound of its number of targets.
+    ``sizes`` has one row per group: its extent and ``n``, an upper bound of its number of
+    targets.  Groups above ``DIRECT`` get cells for about ``PER_CELL`` of their targets.
     """
     keys = list(group)
     if (grid.summary(sizes, "max(n) AS n").n or 0) <= DIRECT:
-        return _direct(queries, targets, group, order)
-    big = sizes.filter(f"n > {DIRECT}").select(*keys)
-    in_small, in_big = (
-        (queries.join(big, keys, how).select(*queries.columns), targets.join(big, keys, how))
-        for how in ("left_anti", "left_semi")
+        return _direct(queries, targets, group, order, distance)
+    big = sizes.filter(f"n > {DIRECT}").selectExpr(
+        *keys, f"greatest(double(xmax - xmin), double(ymax - ymin), 1e-6D)"
+        f" / sqrt(n / {PER_CELL}) AS _cell",
     )
-    # copies of a target are merged before the search; they combine before the shuffle
-    merged = in_big[1].select(*group, "x", "y", *order).distinct()
-    extents = merged.selectExpr(
-        *group, *order, "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax"
+    small = _direct(
+        queries.join(big, keys, "left_anti"), targets.join(big, keys, "left_anti"),
+        group, order, distance,
     )
-    return _direct(*in_small, group, order).unionByName(
-        _by_cells(in_big[0], extents, cell, group, order)
+    found = _by_cells(
+        queries.join(big, keys),
+        _merged(targets.join(big, keys, "left_semi"), group, order, distance).join(big, keys),
+        group, order, distance,
     )
+    return small.unionByName(found.select(*small.columns))
+
+
+def _merged(targets, group, order, distance) -> DataFrame:
+    """Copies of a target become one, the first in order; they combine before the shuffle."""
+    same = list(dict.fromkeys([*group, *g.SIDES, *distance.columns]))
+    rest = [c for c in order if c not in same]
+    if not rest:
+        return targets.select(*same).distinct()
+    first = targets.groupBy(*same).agg(F.min(F.struct(*rest)).alias("_first"))
+    return first.select(*same, "_first.*")
 
 
-def _entry(distance: str, order: tuple[str, ...], prefix: str = "") -> str:
+def _entry(order: tuple[str, ...], distance: Distance, prefix: str = "") -> str:
     fields = "".join(f", '{c}', {prefix}{c}" for c in order)
-    return f"named_struct('d2', {distance}{fields})"
+    return f"named_struct('d2', {distance.sql(prefix)}{fields})"
 
 
-def _direct(queries, targets, group, order) -> DataFrame:
-    blocks = targets.groupBy(*group).agg(F.collect_list(F.struct("x", "y", *order)).alias("_block"))
-    entry = _entry(f"double({g.dist2('x', 'y', 't.x', 't.y')})", order, "t.")
+def _direct(queries, targets, group, order, distance) -> DataFrame:
+    used = list(dict.fromkeys([*distance.columns, *order]))
+    blocks = targets.groupBy(*group).agg(F.collect_list(F.struct(*used)).alias("_block"))
+    entry = _entry(order, distance, "t.")
     return queries.join(blocks, list(group), "left").selectExpr(
         *queries.columns, f"array_min(transform(_block, t -> {entry})) AS {BEST}"
     )
 
 
-def _by_cells(queries, targets, cell, group, order) -> DataFrame:
-    found = materialise(_near(queries, targets, cell, group, order))
+def _by_cells(queries, targets, group, order, distance) -> DataFrame:
+    found = materialise(_near(queries, targets, group, order, distance))
     rest = found.filter(f"{BEST} IS NULL").drop(BEST)
     if rest.isEmpty():
         return found
     return found.filter(f"{BEST} IS NOT NULL").unionByName(
-        _far(rest, targets, cell, group, order)
+        _far(rest, targets, group, order, distance)
     )
 
 
-def _near(queries, targets, cell, group, order) -> DataFrame:
-    level = f"int(greatest(0, ceil(log2(greatest(xmax - xmin, ymax - ymin, {cell}) / {cell}))))"
+def _near(queries, targets, group, order, distance) -> DataFrame:
+    level = (
+        "int(greatest(0, ceil(log2(greatest(xmax - xmin, ymax - ymin, _cell) / _cell))))"
+    )
     levels = grid.levels_of(targets, level)
-    s = f"({float(cell)!r}D * pow(2.0D, level))"
-    reach = float(cell) / 2
+    s, reach = "(_cell * pow(2.0D, level))", "(_cell / 2)"
 
     def around(axis: str) -> str:
         return (
-            f"explode_outer(sequence({grid.index(f'({axis} - {reach!r}D)', s)},"
-            f" {grid.index(f'({axis} + {reach!r}D)', s)})) AS c{axis}"
+            f"explode_outer(sequence({grid.index(f'({axis} - {reach})', s)},"
+            f" {grid.index(f'({axis} + {reach})', s)})) AS c{axis}"
         )
 
     probes = (
@@ -106,40 +150,40 @@ def _near(queries, targets, cell, group, order) -> DataFrame:
         .selectExpr("*", around("x"))
         .selectExpr("*", around("y"))
     )
-    placed = grid.on_cells(
-        targets.select(*group, *order, *g.SIDES).selectExpr("*", f"{level} AS level"), s, g.box()
-    )
+    placed = grid.on_cells(targets.selectExpr("*", f"{level} AS level"), s, g.box()).drop("_cell")
     # of the cells a query and a target share, the first one counts
     first = " AND ".join(
-        f"c{a} = greatest({grid.index(f'({a} - {reach!r}D)', s)}, {grid.index(f'{a}min', s)})"
+        f"c{a} = greatest({grid.index(f'({a} - {reach})', s)}, {grid.index(f'{a}min', s)})"
         for a in "xy"
     )
     hits = (
         probes.join(placed, [*group, "level", "cx", "cy"])
-        .filter(f"{BOX_DISTANCE} <= {reach * reach!r}D AND {first}")
+        .filter(f"{distance.sql('')} <= {reach} * {reach} AND {first}")
         .groupBy(*queries.columns)
-        .agg(F.expr(f"min({_entry(BOX_DISTANCE, order)}) AS {BEST}"))
+        .agg(F.expr(f"min({_entry(order, distance)}) AS {BEST}"))
     )
     return queries.join(hits, queries.columns, "left")
 
 
-def _far(rest, targets, cell, group, order) -> DataFrame:
+def _far(rest, targets, group, order, distance) -> DataFrame:
     span = grid.summary(
         targets, "double(min(xmin)) AS x0", "double(min(ymin)) AS y0",
-        "double(max(xmax)) AS x1", "double(max(ymax)) AS y1",
+        "double(max(xmax)) AS x1", "double(max(ymax)) AS y1", "min(_cell) AS cell",
     )
+    best = _entry(order, distance)
     if span.x0 is None:
-        return rest.selectExpr("*", f"{_empty(order, targets)} AS {BEST}")
-    height, side = 0, float(cell)
+        types = dict(targets.dtypes)
+        fields = "".join(f", {c}: {types[c]}" for c in order)
+        return rest.selectExpr("*", f"CAST(NULL AS STRUCT<d2: DOUBLE{fields}>) AS {BEST}")
+    height, side = 0, span.cell
     while side < max(span.x1 - span.x0, span.y1 - span.y0):
         height, side = height + 1, side * _STEP
+    height += 1  # the far border of the extent is within the last cell
 
     # a target belongs to the cell of its lower left corner; level 0 is the finest
     leaves = targets.selectExpr(
-        *group, *order, *g.SIDES,
-        f"floor((xmin - {span.x0!r}D) / {float(cell)!r}D) AS cx",
-        f"floor((ymin - {span.y0!r}D) / {float(cell)!r}D) AS cy",
-    )
+        "*", f"floor((xmin - {span.x0!r}D) / _cell) AS cx", f"floor((ymin - {span.y0!r}D) / _cell) AS cy"
+    ).drop("_cell")
     extent = [F.expr(f"min({a}min) AS {a}min") for a in "xy"]
     extent += [F.expr(f"max({a}max) AS {a}max") for a in "xy"]
     pyramid = [materialise(leaves.groupBy(*group, "cx", "cy").agg(*extent))]
@@ -153,16 +197,15 @@ def _far(rest, targets, cell, group, order) -> DataFrame:
     alive = rest.selectExpr("*", "0L AS px", "0L AS py", "double('inf') AS bound")
     mine = Window.partitionBy(*rest.columns)
     for depth in range(height, -1, -1):
+        parent = [f"cx div {_STEP} AS px", f"cy div {_STEP} AS py"]
         cells = pyramid[depth].selectExpr(
-            *group, "cx", "cy", *g.SIDES,
-            *([f"cx div {_STEP} AS px", f"cy div {_STEP} AS py"] if depth < height
-              else ["0L AS px", "0L AS py"]),
+            *group, "cx", "cy", *g.SIDES, *(parent if depth < height else ["0L AS px", "0L AS py"])
         )
         alive = (
             alive.join(cells, [*group, "px", "py"])
             .selectExpr(
                 *rest.columns, "cx AS px", "cy AS py", "bound",
-                f"{BOX_DISTANCE} AS low",
+                f"{g.box_dist2('x', 'y', g.box())} AS low",
                 f"{g.box_far2('x', 'y', g.box())} AS high",
             )
             .withColumn("bound", F.least("bound", F.min("high").over(mine)))
@@ -175,12 +218,6 @@ def _far(rest, targets, cell, group, order) -> DataFrame:
         alive.selectExpr(*rest.columns, "px AS cx", "py AS cy")
         .join(leaves, [*group, "cx", "cy"])
         .groupBy(*rest.columns)
-        .agg(F.expr(f"min({_entry(BOX_DISTANCE, order)}) AS {BEST}"))
+        .agg(F.expr(f"min({best}) AS {BEST}"))
     )
     return rest.join(hits, rest.columns, "left")
-
-
-def _empty(order: tuple[str, ...], targets: DataFrame) -> str:
-    types = dict(targets.dtypes)
-    fields = "".join(f", {c}: {types[c]}" for c in order)
-    return f"CAST(NULL AS STRUCT<d2: DOUBLE{fields}>)"

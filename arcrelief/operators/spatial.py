@@ -29,6 +29,7 @@ def _points_in(
     hits = (
         grid.on_levels(points, cut.levels)
         .join(cut.on_cells(), ["level", "cx", "cy"])
+        .filter("x BETWEEN f_xmin AND f_xmax AND y BETWEEN f_ymin AND f_ymax")
         .selectExpr(
             *points.columns, *keys, "base", "pieces",
             f"{g.crossings('edges', 'x', 'y', 'ref_x', 'ref_y')} AS _n",

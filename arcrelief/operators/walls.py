@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import grid
+from .nearest import BEST, TO_EDGE, nearest_in_group
 from .topology import border_arcs
 
 
@@ -101,25 +102,33 @@ def closest_on_boundary(
     """Adds the footprint points closest to both ends of each wall segment.
 
     ``walls`` has x1, y1, x2, y2 and the keys of its building, ``footprints`` one row per
-    ring.  New columns ``near_1`` and ``near_2`` are structs (d2, ring, pos, x, y).
+    ring.  New columns ``near_1`` and ``near_2`` are structs (x, y).  Each end looks for
+    the nearest edge of its own building, ties going to the first one.
     """
-
-    def closest(px: str, py: str) -> str:
-        dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
-        along = (
-            f"greatest(0.0D, least(1.0D, (({px} - e.x1) * {dx} + ({py} - e.y1) * {dy})"
-            f" / ({dx} * {dx} + {dy} * {dy})))"
-        )
-        x, y = f"e.x1 + {along} * {dx}", f"e.y1 + {along} * {dy}"
-        return (
-            f"min(array_min(transform({g.ring_edges('line')}, (e, i) -> named_struct("
-            f"'d2', {g.dist2(px, py, f'({x})', f'({y})')}, 'ring', ring, 'pos', i,"
-            f" 'x', {x}, 'y', {y}))))"
-        )
-
-    ends = ["x1", "y1", "x2", "y2"]
-    return walls.join(footprints, keys).groupBy(*wall_keys, *keys, *ends).agg(
-        F.expr(f"{closest('x1', 'y1')} AS near_1"), F.expr(f"{closest('x2', 'y2')} AS near_2")
+    edges = footprints.selectExpr(
+        *keys, "ring", f"posexplode_outer({g.ring_edges('line')}) AS (edge, e)"
+    ).selectExpr("*", *g.edge_bbox("e"))
+    sizes = edges.groupBy(*keys).agg(
+        F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
+        F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"), F.count(F.lit(1)).alias("n"),
+    )
+    segment = [*wall_keys, *keys, "x1", "y1", "x2", "y2"]
+    both = "array(named_struct('x', x1, 'y', y1), named_struct('x', x2, 'y', y2))"
+    ends = walls.selectExpr(*segment, f"posexplode_outer({both}) AS (end, p)").selectExpr(
+        *segment, "end", "p.x AS x", "p.y AS y"
+    )
+    found = nearest_in_group(
+        ends, edges, sizes, tuple(keys), ("ring", "edge", "e"), TO_EDGE
+    ).selectExpr(*segment, "end", "x", "y", f"{BEST}.e AS e")
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    along = (
+        f"greatest(0.0D, least(1.0D, ((x - e.x1) * {dx} + (y - e.y1) * {dy})"
+        f" / ({dx} * {dx} + {dy} * {dy})))"
+    )
+    near = f"named_struct('x', e.x1 + {along} * {dx}, 'y', e.y1 + {along} * {dy})"
+    return found.groupBy(*segment).agg(
+        F.expr(f"min({near}) FILTER (WHERE end = 0) AS near_1"),
+        F.expr(f"min({near}) FILTER (WHERE end = 1) AS near_2"),
     )
 
 

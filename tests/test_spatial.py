@@ -209,3 +209,35 @@ def test_patch_on_the_border_of_the_box_only(spark):
         [(1, 0, 0, 10, 10), (2, 10, 0, 10, 5), (3, 2, 2, 11, 5)],
         "patch_id BIGINT, xmin BIGINT, ymin BIGINT, xmax BIGINT, ymax BIGINT")
     assert [r.patch_id for r in spatial.patches_inside(patches, (0, 0, 10, 10)).collect()] == [1]
+
+
+@pytest.mark.parametrize("direct", [1024, 0])
+def test_closest_on_boundary(spark, monkeypatch, direct):
+    monkeypatch.setattr(nearest, "DIRECT", direct)
+    rng = random.Random(11)
+    rings = {1: [box(0, 0, 50, 50), box(10, 10, 20, 20)[::-1]], 2: [star(rng, 40, 500, 0, 300)]}
+    feats = polygons(spark, [("a", g, "p", r) for g, r in rings.items()])
+    prints = feats.selectExpr("gid AS b", "posexplode(rings) AS (ring, line)")
+    segments = [(i, rng.choice([1, 2]), *(rng.randint(-400, 900) for _ in range(4))) for i in range(40)]
+    df = spark.createDataFrame(segments, "w BIGINT, b BIGINT, x1 BIGINT, y1 BIGINT, x2 BIGINT, y2 BIGINT")
+    got = walls.closest_on_boundary(df, prints, ["w"], ["b"]).collect()
+    assert len(got) == 40
+    for r in got:
+        for x, y, p in ((r.x1, r.y1, r.near_1), (r.x2, r.y2, r.near_2)):
+            want = min(d2((x, y), a, b) for a, b in edges_of(rings[r.b]))
+            assert abs((x - p.x) ** 2 + (y - p.y) ** 2 - want) < 1e-6
+
+
+def test_hot_position_and_patch(spark):
+    """A third of the points in one place and in one patch changes nothing."""
+    features = polygons(spark, [("a", 1, "pand", [box(0, 0, 100, 100)]),
+                                ("a", 2, "pand", [box(100, 0, 200, 100)])])
+    rows = [(1, 50, 50, 7, 6)] * 3000 + [(1, i % 100, i // 100, 1, 6) for i in range(6000)]
+    points = cloud(spark, rows)
+    inside = [r for r in rows if 20 <= r[1] <= 80 and 20 <= r[2] <= 80]
+    got = {r.gid: (r.n_points, r.z) for r in heights.roof_height(points, features, 20).collect()}
+    assert got[1] == (len(inside), sum(r[3] for r in inside) / len(inside)) and got[2] == (0, 0.0)
+    t = topology.build_topology(features)
+    z = heights.arc_heights(t, points, "type = 'pand'", 6).collect()
+    best = lambda x, y: min(((x - r[1]) ** 2 + (y - r[2]) ** 2, r[3]) for r in rows)[1]
+    assert all(r.z == best(r.x, r.y) for r in z) and len(z) > 6
