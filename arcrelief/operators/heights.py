@@ -97,7 +97,7 @@ def arc_heights_from_patches(arcs: DataFrame, points: DataFrame, classification:
     pairs = arcs_meeting_boxes(arcs, patches, "patch_id")
     wanted = points_by_class(points, classification)
     # nearest point per vertex and patch first, then the best patch of each vertex
-    placed = arc_vertices(arcs).join(pairs, "arc_id")
+    placed = materialise(arc_vertices(arcs).join(pairs, "arc_id"))
     return (
         nearest_point_z(placed, wanted, patches)
         .filter("d2 IS NOT NULL")
@@ -116,8 +116,8 @@ def arc_ground_points(arcs: DataFrame, points: DataFrame, classification: int) -
 
     Points are counted per patch first, so only one row per (arc, patch) is joined.
     """
-    pairs = arcs_meeting_boxes(arcs, patches_of(points), "patch_id")
-    per_patch = (
+    pairs = arcs_meeting_boxes(arcs, materialise(patches_of(points)), "patch_id")
+    per_patch = materialise(
         points_by_class(points, classification)
         .groupBy("patch_id")
         .agg(F.expr("count(*) AS n"), F.expr("min(z) AS low"), F.expr("max(z) AS high"))

@@ -96,5 +96,5 @@ def collect_mesh(mesh: DataFrame, key: str) -> DataFrame:
 
 
 def points_in_box(points: DataFrame, patches: DataFrame, bounds: tuple) -> DataFrame:
-    """Points of the patches that lie wholly inside a constant box."""
+    """Points of the patches (a stored table) that lie wholly inside a constant box."""
     return points.join(patches_inside(patches, bounds).select("patch_id"), "patch_id", "left_semi")

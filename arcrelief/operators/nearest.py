@@ -29,6 +29,7 @@ _STEP = 4  # side ratio between pyramid levels
 BEST = "best"
 DIRECT = 1024
 PER_CELL = 32
+HOT = 200_000  # queries of one group that a task may be given
 
 
 @dataclass(frozen=True)
@@ -116,12 +117,34 @@ def _entry(order: tuple[str, ...], distance: Distance, prefix: str = "") -> str:
 def _direct(queries, targets, group, order, distance) -> DataFrame:
     used = list(dict.fromkeys([*distance.columns, *order]))
     blocks = targets.groupBy(*group).agg(F.collect_list(F.struct(*used)).alias("_block"))
+    shared, blocks, keys = _spread(queries, blocks, list(group))
     entry = _entry(order, distance, "t.")
-    return queries.join(blocks, list(group), "left").selectExpr(
+    return shared.join(blocks, keys, "left").selectExpr(
         *queries.columns, f"array_min(transform(_block, t -> {entry})) AS {BEST}"
     )
 
 
+def _spread(queries, blocks, keys) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Gives groups with very many queries several copies of their one block row.
+
+    Blocks come out of an aggregate on the join key, where AQE cannot split a hot key.
+    """
+    loads = queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_load"))
+    if (grid.summary(loads, "max(_load) AS n").n or 0) <= HOT:
+        return queries, blocks, keys
+    shares = materialise(
+        loads.filter(f"_load > {HOT}").selectExpr(*keys, f"ceil(_load / {HOT}) AS _shares")
+    )
+    row = ", ".join(queries.columns)
+    shared = queries.join(shares, keys, "left").selectExpr(
+        *queries.columns, f"pmod(xxhash64({row}), coalesce(_shares, 1)) AS _share"
+    )
+    copied = blocks.join(shares, keys, "left").selectExpr(
+        *keys, "_block", "explode_outer(sequence(0L, coalesce(_shares, 1) - 1)) AS _share"
+    )
+    return shared, copied, [*keys, "_share"]
+
+
 def _by_cells(queries, targets, group, order, distance) -> DataFrame:
     found = materialise(_near(queries, targets, group, order, distance))
     rest = found.filter(f"{BEST} IS NULL").drop(BEST)

@@ -139,7 +139,8 @@ def junctions(entities: DataFrame) -> DataFrame:
 
 def _pieces(entities: DataFrame) -> DataFrame:
     """Rings cut at junctions: one row per piece with its points in canonical direction."""
-    nodes = junctions(entities).selectExpr("x", "y", "true AS node")
+    # stored, so that the join below shuffles both sides and AQE can split a hot position
+    nodes = materialise(junctions(entities).selectExpr("x", "y", "true AS node"))
     keys = ["entity_id", "ring"]
     flagged = ring_vertices(entities).select(*keys, "pos", "x", "y").join(nodes, ["x", "y"], "left")
     # a ring came from one source row, so its group is bounded by that row

@@ -126,7 +126,7 @@ def patch_stats(spark, d):
 def ground_points_in_box(spark, d):
     points = store(spark, d).points
     ground = heights.points_by_class(points, heights.GROUND)
-    return mesh.points_in_box(ground, spatial.patches_of(points), GROUND_BOX)
+    return mesh.points_in_box(ground, store(spark, d).patches, GROUND_BOX)
 
 
 def polygon_patch_join(spark, d):

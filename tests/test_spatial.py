@@ -130,9 +130,10 @@ def test_nearest_is_exact_at_any_distance(spark, cell):
     assert got == want
 
 
-@pytest.mark.parametrize("direct", [1024, 10, 0])
-def test_nearest_in_patch(spark, monkeypatch, direct):
+@pytest.mark.parametrize("direct,hot", [(1024, 200000), (1024, 7), (10, 200000), (0, 200000)])
+def test_nearest_in_patch(spark, monkeypatch, direct, hot):
     monkeypatch.setattr(nearest, "DIRECT", direct)
+    monkeypatch.setattr(nearest, "HOT", hot)
     rng = random.Random(9)
     rows = [(rng.choice([1, 1, 1, 2]), rng.randint(0, 99), rng.randint(0, 99), rng.randint(0, 9), 2)
             for _ in range(300)] + [(3, 5, 5, 5, 1)] + [(1, 7, 7, z, 2) for z in (9, 8)] * 40
