@@ -86,15 +86,16 @@ def extent_pairs(
             "*",
             f"explode_outer(concat(array(_own), filter({array_of(others)}, v -> v > _own))) AS level",
         )
-        return on_cells(leveled.selectExpr("*", f"level = _own AS {own}").drop("_own"), side(), b)
+        sided = leveled.selectExpr("*", f"level = _own AS {own}", f"{side()} AS _side")
+        return on_cells(sided.drop("_own"), "_side", b)
 
     a = registered(left, lbox, rlevels, "l_own")
-    b = registered(right, rbox, llevels, "r_own")
+    b = registered(right, rbox, llevels, "r_own").drop("_side")
     corner = [
-        f"{c} = {index(f'greatest({lbox[k]}, {rbox[k]})', side())}"
+        f"{c} = {index(f'greatest({lbox[k]}, {rbox[k]})', '_side')}"
         for c, k in (("cx", "xmin"), ("cy", "ymin"))
     ]
     joined = a.join(b, ["level", "cx", "cy"]).filter(
         f"(l_own OR r_own) AND {g.boxes_overlap(lbox, rbox)} AND {' AND '.join(corner)}"
     )
-    return joined.drop("level", "cx", "cy", "l_own", "r_own")
+    return joined.drop("level", "cx", "cy", "l_own", "r_own", "_side")

@@ -45,6 +45,11 @@ class Store:
     def topology(self) -> topology.Topology:
         return topology.build_topology(self.features)
 
+    def forget_results(self) -> None:
+        """Drop the tables of the later steps, so that the next query computes them."""
+        for name in ("terrain", "raised", "polygons3d"):
+            self.__dict__.pop(name, None)
+
     @cached_property
     def terrain(self) -> DataFrame:
         return materialise(

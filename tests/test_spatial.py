@@ -5,7 +5,6 @@ import random
 
 import pytest
 from conftest import box, cloud, polygons
-from pyspark.sql import functions as F
 
 from arcrelief.functions import fragments, ids
 from arcrelief.operators import edit, heights, mesh, nearest, spatial, topology, walls
