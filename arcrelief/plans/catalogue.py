@@ -31,7 +31,8 @@ class Store:
 
     @cached_property
     def features(self) -> DataFrame:
-        return materialise(derived.features(self.spark, self.sf_dir))
+        spread = self.spark.sparkContext.defaultParallelism
+        return materialise(derived.features(self.spark, self.sf_dir).repartition(spread, "gid"))
 
     @property
     def parcels(self) -> DataFrame:
