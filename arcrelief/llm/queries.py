@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, records
+from . import chat, packing, piece_codec, records
 from .store import read_table, scratch_folder
 
 
@@ -17,6 +17,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_codec.encode_and_decode(read_table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(
         read_table(spark, sf_dir, "documents"), scratch_folder(spark, "records")
@@ -27,9 +36,41 @@ def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], chats.schema)
+    return chat.read_back(chat.format_chats(chats.union(added)))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_chat": OP10_SQL}
+
+
+#: The segments' marks take 10 + 8 characters for a user, 0 + 4 for an assistant, 18 + 21 for a
+#: system turn; in texts, escape characters and control strings take one more each.
+OP10_SQL = r"""
+WITH chats AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prior,
+    length(text) + (length(text) - length(replace(text, chr(92), '')))
+      + len(regexp_extract_all(text, '</?s>|\[/?INST\]|<</?SYS>>'))
+      + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 4 ELSE 39 END AS formatted
+  FROM chats
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(formatted)::BIGINT AS formatted_chars,
+  bool_and(CASE WHEN prior IS NULL THEN role IN ('system', 'user')
+    WHEN prior = 'user' THEN role = 'assistant' ELSE role = 'user' END) AS valid
+FROM turns GROUP BY conv_id
+"""
