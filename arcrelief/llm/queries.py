@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, piece_codec, records
+from . import chat, packing, piece_codec, quality_rules, records
 from .store import read_table, scratch_folder
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    rules = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"))
     return pieces.select(
