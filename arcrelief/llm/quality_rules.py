@@ -89,7 +89,7 @@ def text_stats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     of ``docs`` are ignored, unless kept.  Names in STATS can't be kept.
     """
     names = list(keep)
-    schema = [f"{docs.select(c).schema.fields[0].simpleString().replace(':', '` ', 1)}" for c in names]
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +99,7 @@ def text_stats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
                 [*batch.columns[:len(names)], *(pa.array(c) for c in table.T)], names + STATS)
 
     return docs.select(*names, F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(
-        run, ", ".join([f"`{x}" for x in schema] + [f"{s} LONG" for s in STATS]))
+        run, ", ".join(schema + [f"{s} LONG" for s in STATS]))
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, piece_codec, quality_rules, records
+from . import chat, packing, piece_codec, quality_rules, records, toxicity
 from .store import read_table, scratch_folder
 
 
@@ -35,6 +35,15 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    return toxicity.score(docs, toxicity.fit(docs, labels)).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(
         read_table(spark, sf_dir, "documents"), scratch_folder(spark, "records")
