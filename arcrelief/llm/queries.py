@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, piece_codec, quality_rules, records, toxicity
+from . import chat, packing, piece_codec, quality_rules, records, secret_scan, toxicity
 from .store import read_table, scratch_folder
 
 
@@ -35,6 +35,22 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    number = {k.name: i for i, k in enumerate(secret_scan.KINDS)}
+    of_kind = lambda name: F.size(F.filter("spans", lambda x: x["number"] == number[name]))
+    base = F.filter("spans", lambda x: x["number"] < number["owned"])
+    judged = lambda word: F.size(F.filter("spans", lambda x: x["verdict"] == word))
+    return found.select(
+        "doc_id",
+        *(of_kind(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+        judged("live").cast("long").alias("n_live"),
+        judged("example").cast("long").alias("n_example"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out())
@@ -66,7 +82,48 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat": OP10_SQL}
+    return {"op6_secrets": _op6_sql(), "op10_chat": OP10_SQL}
+
+
+def _op6_sql() -> str:
+    """The scan in DuckDB: places by the lengths of what stands between matches."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    kinds = " UNION ALL ".join(f"""
+      SELECT doc_id, owner, {i} AS number, '{k.name}' AS kind, {k.least} AS least,
+        string_split_regex(t, {quoted(k.pattern)}) AS gaps,
+        regexp_extract_all(t, {quoted(k.pattern)}) AS matches,
+        regexp_extract_all(t, {quoted(k.pattern)}, {k.group}) AS found
+      FROM texts""" for i, k in enumerate(secret_scan.KINDS))
+    return f"""
+    WITH texts AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+    raw AS ({kinds}),
+    places AS (SELECT *, unnest(range(1, len(matches) + 1)) AS i FROM raw),
+    spans AS (
+      SELECT doc_id, owner, number, kind, found[i] AS value,
+        list_sum(list_transform(gaps[1:i], lambda x: length(x)))::BIGINT
+          + coalesce(list_sum(list_transform(matches[1:i-1], lambda x: length(x))), 0)::BIGINT AS a,
+        length(matches[i]) AS size
+      FROM places WHERE length(found[i]) >= least),
+    looks AS (SELECT *, a + size AS z,
+        length(regexp_replace(value, '[^0-9]', '', 'g')) >= 3
+        AND length(regexp_replace(value, '[^A-Za-z]', '', 'g')) >= 3
+        AND len(list_distinct(string_split(value, ''))) >= 8 AS mixed FROM spans),
+    kept AS (SELECT * FROM looks s WHERE number < 3 OR mixed AND NOT EXISTS (
+        SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.number < 3
+          AND b.a < s.z AND s.a < b.a + b.size)),
+    owners AS (SELECT value, count(DISTINCT owner) AS n FROM kept GROUP BY value),
+    judged AS (SELECT k.*, CASE WHEN n >= 3 THEN 'example' WHEN mixed THEN 'live' ELSE 'weak' END AS verdict
+      FROM kept k JOIN owners USING (value)),
+    final AS (SELECT * FROM judged WHERE number < 3 OR verdict = 'live')
+    SELECT d.doc_id,
+      count(*) FILTER (number = 0) AS n_assign, count(*) FILTER (number = 1) AS n_access,
+      count(*) FILTER (number = 2) AS n_hex,
+      sha256(coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, number)
+        FILTER (number < 3), '')) AS base_sha256,
+      coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, number), '') AS spans,
+      count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+    FROM documents d LEFT JOIN final f ON d.doc_id = f.doc_id GROUP BY d.doc_id
+    """
 
 
 #: The segments' marks take 10 + 8 characters for a user, 0 + 4 for an assistant, 18 + 21 for a
