@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, piece_codec, quality_rules, records, secret_scan, toxicity
+from . import chat, jaccard_join, packing, piece_codec, quality_rules, records, secret_scan, toxicity
 from .store import read_table, scratch_folder
 
 
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(read_table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"))
     return pieces.select(
