@@ -33,14 +33,22 @@ class _Loose(Exception):
     """White space stands beside a cut."""
 
 
+#: The characters that stand for bytes in byte-level vocabularies: printable ones for themselves,
+#: the others in order from 256.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
+
+
 class _Pieces(dict):
-    """Ids by piece, asked of the library when missing; forgets all at a size."""
+    """Ids by piece of the split pattern, merged by the library's model when missing; forgets
+    all at a size."""
 
-    def __init__(self, encode, code, most):
-        self.encode, self.code, self.most = encode, code, most
+    def __init__(self, model, code, most):
+        self.tokenize, self.code, self.most = model.tokenize, code, most
 
     def __missing__(self, piece):
-        ids = array(self.code, self.encode(piece, add_special_tokens=False).ids).tobytes()
+        mapped = piece.encode().decode("latin-1").translate(_BYTES)
+        ids = array(self.code, [t.id for t in self.tokenize(mapped)]).tobytes()
         if len(self) >= self.most:
             self.clear()
         self[piece] = ids
@@ -48,32 +56,29 @@ class _Pieces(dict):
 
 
 class _Chunks(dict):
-    """Ids by chunk without its leading space, put together from pieces when missing."""
+    """Ids by chunk without its leading space, put together from others when missing."""
 
-    def __init__(self, pieces, most):
-        self.pieces, self.most = pieces, most
+    def __init__(self, owner, most):
+        self.owner, self.most = owner, most
 
     def __missing__(self, part):
-        if part.isalpha():
-            ids = self.pieces[" " + part]
-        elif part[-1:] in _MARKS and part[:-1].isalpha() and part[-2] < "Ā":
-            ids = self.pieces[" " + part[:-1]] + self.pieces[part[-1]]
-        elif not part or part[0].isspace() or part[-1].isspace():
+        last = part[-1:]
+        if part.isalpha() and max(part) < "Ā":
+            mapped = f" {part}".encode().decode("latin-1").translate(_BYTES)
+            pieces = self.owner.pieces
+            ids = array(pieces.code, [t.id for t in pieces.tokenize(mapped)]).tobytes()
+        elif last in _MARKS and part[:-1].isalpha() and part[-2] < "Ā":
+            ids = self[part[:-1]] + self.owner.pieces[last]
+        elif not part or part[0].isspace() or last.isspace():
             raise _Loose
         else:
-            ids = split_up(self.pieces, " " + part)
+            ids = self.owner.split(" " + part)
         if len(self) >= self.most:
             self.clear()
         self[part] = ids
         return ids
 
 
-def split_up(pieces: _Pieces, chunk: str) -> bytes:
-    if chunk.isascii() or max(chunk) < "Ā":
-        return b"".join(map(pieces.__getitem__, _LATIN.findall(chunk)))
-    return pieces[chunk]
-
-
 class Encoder:
     """``encode(text)`` gives the ids as little-endian bytes, ``width`` bytes for each.
 
@@ -81,24 +86,35 @@ class Encoder:
     sizes (entries of about 200 bytes).
     """
 
-    def __init__(self, path: str = BYTE_BPE, chunks: int = 600_000, pieces: int = 800_000):
+    def __init__(self, path: str = BYTE_BPE, chunks: int = 1_300_000, pieces: int = 500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        if "ByteLevel" not in type(self.library.pre_tokenizer).__name__:
+            raise ValueError("not a byte-level vocabulary")
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.pieces = _Pieces(self.library.encode, "H" if self.width == 2 else "I", pieces)
-        self.chunks = _Chunks(self.pieces, chunks)
+        self.code = "H" if self.width == 2 else "I"
+        self.pieces = _Pieces(self.library.model, self.code, pieces)
+        self.chunks = _Chunks(self, chunks)
+
+    def split(self, chunk: str) -> bytes:
+        """Ids of a chunk by its pieces; where the pattern isn't spelled out, by the library."""
+        if not chunk.isascii() and max(chunk) >= "Ā":
+            return array(self.code, self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+        return b"".join([
+            self.chunks[x[1:]] if x[0] == " " and x[1:].isalpha() else self.pieces[x]
+            for x in _LATIN.findall(chunk)])
 
     def encode(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         try:
             if rest and (not first or first[-1].isspace()):
                 raise _Loose
-            head = (split_up(self.pieces, first),) if first else ()
+            head = (self.split(first),) if first else ()
             return b"".join(chain(head, map(self.chunks.__getitem__, rest)))
         except _Loose:
-            return b"".join(split_up(self.pieces, x) for x in _CUT.split(text))
+            return b"".join(map(self.split, _CUT.split(text)))
 
 
 _ENCODERS: dict[str, Encoder] = {}
