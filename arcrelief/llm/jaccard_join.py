@@ -10,8 +10,10 @@ The method, for sets that link when 100 * intersection >= percent * union:
 3. Nodes are partitioned into groups of similar ones.  The token-group matrix has a row for each
    prefix shingle and group, the union over the group's members.  Two groups with a common
    row whose sizes may fit qualify; all others are never opened.
-4. Opened groups meet in one task.  There the whole sets bound each query's overlap with
-   the other group's union; only queries that reach their need are compared with members.
+4. Opened groups meet in one task, first with sketches of 256 bytes, whose difference bounds that
+   of the sets; members that may still link meet again with their whole sets, shingled anew from
+   the texts.  There each query's overlap with the other group's union comes first; only queries
+   that reach their need are compared with members.
 5. Links become components by star contraction.
 
 Which shingles are frequent only sets the order, so it may be approximate: it is kept as
@@ -33,6 +35,7 @@ from .components import connected_components
 from .store import staged
 
 BITS = 25  # of a bitmap: 4 MB
+SKETCH = 2048  # places of a sketch: 256 bytes
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -69,26 +72,91 @@ def shingles_of(text: str, size: int) -> np.ndarray:
     return np.unique(rolled.view(np.int64))
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, node (hash of the set), n and tokens of each document."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of the text."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce("text", F.lit("")).alias("text")
+                       ).withColumn("text_key", F.xxhash64("text"))
+
+
+def _counted(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The shingles whose frequency can matter: half more than each set's prefix by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
+            for start in range(0, len(texts), 500):
+                found = [shingles_of(t, size) for t in texts[start:start + 500]]
+                low = [s[:3 * (len(s) - need_of(len(s), percent) + 1) // 2] for s in found]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(low))], ["token"])
+
+    return rows.select("text").mapInArrow(run, "token LONG")
+
+
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """A bit for each of SKETCH places: whether an odd number of the shingles falls there.
+
+    Sketches of two sets differ in no more bits than the sets do in shingles.
+    """
+    return np.packbits((np.bincount(tokens >> 40 & (SKETCH - 1), minlength=SKETCH) & 1).astype(bool))
+
+
+def _sketched(rows: DataFrame, size: int, percent: int, often: np.ndarray) -> DataFrame:
+    """doc_id, text_key, node (hash of the set), n, grp, sketch and prefix of each document.
+
+    The group: the set's least frequent-shingle hash (its least hash, if none is frequent)
+    and its size to within a tenth, so near copies of one text mostly fall together.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for start in range(0, len(texts), 500):
+                found = [shingles_of(t, size) for t in texts[start:start + 500]]
+                sizes = np.array([len(s) for s in found])
+                nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in found], np.uint64)
+                prefixes, groups = [], np.zeros(len(found), np.int64)
+                for i, own in enumerate(found):
+                    late = _in_bitmap(bitmap, own)
+                    first, last = own[~late], own[late]  # each in order of their hashes
+                    length = len(own) - need_of(len(own), percent) + 1 if len(own) else 0
+                    prefixes.append(np.concatenate([first, last])[:length])
+                    groups[i] = last[0] if len(last) else own[0] if len(own) else 0
+                with np.errstate(over="ignore"):
+                    band = (np.log(np.maximum(sizes, 1)) / np.log(1.1)).astype(np.int64)
+                    groups = groups.view(np.uint64) * _MIX + band.view(np.uint64)
+                ends = np.cumsum([0] + [len(x) for x in prefixes]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(found)), batch.column(1).slice(start, len(found)),
+                     pa.array(nodes.view(np.int64)), pa.array(sizes.astype(np.int32)),
+                     pa.array(groups.view(np.int64)),
+                     pa.array([sketch_of(s).tobytes() for s in found], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))],
+                    ["doc_id", "text_key", "node", "n", "grp", "sketch", "prefix"])
+
+    return rows.select("doc_id", "text_key", "text").mapInArrow(
+        run, "doc_id LONG, text_key LONG, node LONG, n INT, grp LONG, sketch BINARY,"
+             " prefix ARRAY<LONG>")
+
+
+def _whole(rows: DataFrame, size: int) -> DataFrame:
+    """node and tokens of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
             for start in range(0, len(texts), 500):
                 found = [shingles_of(t, size) for t in texts[start:start + 500]]
                 nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in found]
                 ends = np.cumsum([0] + [len(s) for s in found]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(start, len(found)),
-                     pa.array(np.array(nodes, np.uint64).view(np.int64)),
-                     pa.array(np.diff(ends)),
+                    [pa.array(np.array(nodes, np.uint64).view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
-                    ["doc_id", "node", "n", "tokens"])
+                    ["node", "tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id LONG, node LONG, n INT, tokens ARRAY<LONG>")
+    return rows.select("text").mapInArrow(run, "node LONG, tokens ARRAY<LONG>")
 
 
 def _bitmap(rows: DataFrame, column: str) -> np.ndarray:
@@ -118,39 +186,6 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
 
 
-def _prefixes(sets: DataFrame, percent: int, often: np.ndarray) -> DataFrame:
-    """token, node, n and grp for each shingle of each set's prefix.
-
-    The group: the set's least frequent-shingle hash (its least hash, if none is frequent)
-    and its size to within a tenth, so near copies of one text mostly fall together.
-    """
-    shared = sets.sparkSession.sparkContext.broadcast(often)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
-        for batch in batches:
-            tokens, ends = _flat(batch.column(2))
-            frequent = _in_bitmap(bitmap, tokens)
-            out, nodes, sizes = [], batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            groups = np.zeros(len(nodes), np.int64)
-            for i, n in enumerate(sizes):
-                own, late = tokens[ends[i]:ends[i + 1]], frequent[ends[i]:ends[i + 1]]
-                first, last = own[~late], own[late]  # each in order of their hashes
-                out.append(np.concatenate([first, last])[:n - need_of(n, percent) + 1])
-                groups[i] = last[0] if len(last) else own[0]
-            with np.errstate(over="ignore"):
-                band = (np.log(sizes) / np.log(1.1)).astype(np.int64)
-                groups = (groups.view(np.uint64) * _MIX + band.view(np.uint64)).view(np.int64)
-            counts = [len(x) for x in out]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*out, np.zeros(0, np.int64)])),
-                 pa.array(np.repeat(nodes, counts)), pa.array(np.repeat(sizes, counts)),
-                 pa.array(np.repeat(groups, counts))], ["token", "node", "n", "grp"])
-
-    return sets.where("n > 0").select("node", "n", "tokens").mapInArrow(
-        run, "token LONG, node LONG, n INT, grp LONG")
-
-
 def _only(rows: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
     """Rows whose value may be in the bitmap."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
@@ -229,47 +264,85 @@ def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
-def _verified(members: DataFrame, percent: int) -> DataFrame:
-    """Edges of each opened pair of groups; ``members``: ga, gb, grp, node, tokens, by pair."""
+def _by_pair(members: DataFrame, column: str, schema: str, compare) -> DataFrame:
+    """Runs ``compare`` on each opened pair of groups.
+
+    ``members`` has a row for each pair and member: ga, gb, grp, node, n and a column.  A pair's
+    rows come together in one sorted partition; ``compare`` gets the nodes, sizes and values
+    of its one or two groups and returns rows for ``schema``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, held = None, {}
+        names = [x.split()[0] for x in schema.split(", ")]
+
+        def rows():
+            sides = [held[g] for g in dict.fromkeys(pair) if g in held]
+            if len(sides) < len(set(pair)):
+                return []
+            return compare(pair, [[list(c) for c in zip(*side)] for side in sides])
 
-        def edges():
-            nodes = {g: [x[0] for x in v] for g, v in held.items()}
-            sets = {g: [x[1] for x in v] for g, v in held.items()}
-            if pair[0] == pair[1]:
-                a = b = nodes[pair[0]]
-                found = links(sets[pair[0]], None, percent)
-            else:
-                a, b = nodes[pair[0]], nodes[pair[1]]
-                found = links(sets[pair[0]], sets[pair[1]], percent)
-            return _forest([(a[i], b[j]) for i, j in found])
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in out], pa.int64()) for k in range(len(names))], names)
 
         for batch in batches:
-            ga, gb, grp, node = (batch.column(i).to_pylist() for i in range(4))
-            tokens, ends = _flat(batch.column(4))
             out = []
-            for i in range(len(node)):
-                if (ga[i], gb[i]) != pair:
+            *keys, values = batch.columns
+            for ga, gb, grp, node, n, value in zip(*(c.to_pylist() for c in keys), values):
+                if (ga, gb) != pair:
                     if pair is not None:
-                        out.extend(edges())
-                    pair, held = (ga[i], gb[i]), {}
-                held.setdefault(grp[i], []).append((node[i], tokens[ends[i]:ends[i + 1]].copy()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+                        out.extend(rows())
+                    pair, held = (ga, gb), {}
+                held.setdefault(grp, []).append((node, n, value))
+            yield batch_of(out)
         if pair is not None:
-            last = edges()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in last], pa.int64()) for k in (0, 1)], ["u", "v"])
+            yield batch_of(rows())
 
     return (
-        members.select("ga", "gb", "grp", "node", "tokens")
-        .repartition("ga", "gb").sortWithinPartitions("ga", "gb")
-        .mapInArrow(run, "u LONG, v LONG")
+        members.select("ga", "gb", "grp", "node", "n", column)
+        .repartition("ga", "gb").sortWithinPartitions("ga", "gb").mapInArrow(run, schema)
     )
 
 
+def _may_link(members: DataFrame, percent: int) -> DataFrame:
+    """ga, gb, grp, node of members that the sketches allow to link with another one.
+
+    Linked sets of a and b shingles differ in (a + b) * (100 - percent) / (100 + percent) at most.
+    """
+
+    def compare(pair, sides):
+        bits = [np.frombuffer(b"".join(v.as_py() for v in side[2]), np.uint64).reshape(len(side[0]), -1)
+                for side in sides]
+        sizes = [np.array(side[1], np.int64) for side in sides]
+        reached = [np.zeros(len(side[0]), bool) for side in sides]
+        last = len(sides) - 1
+        for i, row in enumerate(bits[0]):
+            differ = np.bitwise_count(bits[last] ^ row).sum(1, dtype=np.int64)
+            may = (100 + percent) * differ <= (100 - percent) * (sizes[last] + sizes[0][i])
+            if last == 0:
+                may[i] = False
+            if may.any():
+                reached[0][i] = True
+                reached[last] |= may
+        return [(*pair, pair[k], node) for k, side in enumerate(sides)
+                for node, x in zip(side[0], reached[k]) if x]
+
+    return _by_pair(members, "sketch", "ga LONG, gb LONG, grp LONG, node LONG", compare)
+
+
+def _verified(members: DataFrame, percent: int) -> DataFrame:
+    """Edges of each opened pair of groups, as many as connect what its links connect."""
+
+    def compare(pair, sides):
+        nodes = [side[0] for side in sides]
+        sets = [[v.values.to_numpy() for v in side[2]] for side in sides]
+        found = links(sets[0], sets[1] if len(sets) == 2 else None, percent)
+        return _forest([(nodes[0][i], nodes[-1][j]) for i, j in found])
+
+    return _by_pair(members, "tokens", "u LONG, v LONG", compare)
+
+
 def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int = 20,
                    members: int = 256, member_tokens: int = 500_000) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles and component_id.
@@ -284,15 +357,14 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int
     ``members`` and ``member_tokens`` bound a group: larger ones are split, and their parts
     meet pairwise like other groups.  Hashes of shingles and of sets have 64 bits.
     """
-    sets = staged(_sets(docs, size), "shingle-sets")
-    prefix = F.expr(f"n - CAST(ceil({percent} * CAST(n AS LONG) / 100) AS INT) + 1")
-    counted = sets.where("n > 0").select(
-        F.explode(F.slice("tokens", 1, F.ceil(prefix * 1.5).cast("int"))).alias("token"))
-    frequent = counted.groupBy("token").count().where(F.col("count") >= often)
-    prefixes = staged(_prefixes(sets, percent, _bitmap(frequent, "token")), "prefixes")
-    shared = prefixes.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-    prefixes = staged(
-        _only(prefixes, "token", _bitmap(shared.where("a <> b"), "token")).distinct(), "prefixes")
+    rows = _rows(docs)
+    counts = _counted(rows, size, percent).groupBy("token").count()
+    frequent = _bitmap(counts.where(F.col("count") >= often), "token")
+    sets = staged(_sketched(rows, size, percent, frequent), "sketches")
+    filled = sets.where("n > 0")
+    prefixes = filled.select(F.explode("prefix").alias("token"), "node", "n", "grp")
+    twice = prefixes.groupBy("token").count().where("count > 1")
+    prefixes = staged(_only(prefixes, "token", _bitmap(twice, "token")).distinct(), "prefixes")
 
     nodes = prefixes.select("node", "n", "grp").distinct()
     parts = nodes.groupBy("grp").agg(F.ceil(F.greatest(
@@ -301,12 +373,10 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int
         nodes.join(staged(parts, "groups"), "grp").select(
             "node", "n", F.xxhash64("grp", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("grp")),
         "groups")
-    matrix = (
+    matrix = staged(
         prefixes.select("token", "node").join(grouped, "node").groupBy("token", "grp")
         .agg(F.min("n").alias("lo"), F.max("n").alias("hi"),
-             (F.min("node") != F.max("node")).alias("several"))
-    )
-    matrix = staged(matrix, "token-groups")
+             (F.min("node") != F.max("node")).alias("several")), "token-groups")
     one, two = matrix.alias("one"), matrix.alias("two")
     fits = F.expr(f"100L * one.hi >= {percent} * two.lo AND 100L * two.hi >= {percent} * one.lo")
     pairs = staged(
@@ -317,17 +387,22 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int
         "group-pairs")
 
     opened = pairs.select("ga", "gb", F.explode(F.array_distinct(F.array("ga", "gb"))).alias("grp"))
-    wanted = grouped.join(opened.select("grp").distinct(), "grp", "left_semi")
+    sketches = staged(
+        _only(filled.select("node", "text_key", "sketch"), "node", _bitmap(grouped, "node"))
+        .groupBy("node").agg(F.first(F.struct("text_key", "sketch")).alias("x"))
+        .join(grouped, "node").select("node", "n", "grp", "x.*"), "candidates")
+    reached = staged(
+        _may_link(opened.join(sketches.drop("text_key"), "grp"), percent), "opened")
+    needed = sketches.join(reached.select("node").distinct(), "node", "left_semi")
     whole = (
-        _only(sets.where("n > 0").select("node", "tokens"), "node", _bitmap(wanted, "node"))
+        _whole(_only(rows.select("text_key", "text"), "text_key", _bitmap(needed, "text_key")), size)
         .groupBy("node").agg(F.first("tokens").alias("tokens"))
     )
-    whole = staged(grouped.select("node", "grp").join(whole, "node"), "opened-sets")
-    edges = _verified(opened.join(whole, "grp"), percent)
-    roots = connected_components(edges)
+    whole = staged(needed.select("node", "n").join(whole, "node"), "whole-sets")
+    roots = connected_components(_verified(reached.join(whole, "node"), percent))
 
-    # what the nodes of a component have in doc_ids, then the least for each document
-    firsts = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
+    # the nodes' least doc_ids give each component's
+    firsts = filled.groupBy("node").agg(F.min("doc_id").alias("first"))
     rooted = staged(firsts.join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")), "roots")
     least = staged(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
@@ -335,5 +410,5 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int
         "node", "component_id"), "components")
     alone = sets.where("n = 0").select(
         "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return sets.where("n > 0").select("doc_id", "node", "n").join(named, "node").select(
+    return filled.select("doc_id", "node", "n").join(named, "node").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id").union(alone)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard_join, packing, piece_codec, quality_rules, records, secret_scan, toxicity
+from . import chat, jaccard_join, lm_scoring, packing, piece_codec, quality_rules, records, secret_scan, toxicity
 from .store import read_table, scratch_folder
 
 
@@ -22,6 +22,12 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(read_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what is labelled as good and not toxic."""
+    good = read_table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"), good)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"))
     return pieces.select(
