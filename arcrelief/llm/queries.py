@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard_join, lm_scoring, packing, piece_codec, quality_rules, records, secret_scan, toxicity
+from . import (
+    chat, hilbert_search, jaccard_join, lm_scoring, packing, piece_codec, quality_rules, records,
+    secret_scan, toxicity,
+)
 from .store import read_table, scratch_folder
 
 
@@ -80,6 +83,11 @@ def op8_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return hilbert_search.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
