@@ -1,18 +1,67 @@
-"""A corpus pipeline of five stages, each one of the operators of arcrelief.llm."""
+"""A corpus pipeline of five stages, each one of the operators of arcrelief.llm.
+
+Every stage but the last returns the columns of ``documents``; other columns are left out, so
+none can clash.  Null texts are empty texts to all stages.  An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arcrelief.llm import packing
+from arcrelief.llm import jaccard_join, packing, quality_rules, secret_scan, toxicity
 from arcrelief.llm.store import read_table, staged
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.3 by a classifier learned from the labelled ones stay."""
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=COLUMNS).where("score < 0.3").select(*COLUMNS)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay that neither the base nor a rule learned from the labelled ones rejects."""
+    rules = quality_rules.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules, keep=COLUMNS).where("kept").select(*COLUMNS)
+
+
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group of similar documents stays (five words, 0.8).
+
+    Of rows with one doc_id and one text, one stays; rows of one doc_id and other texts are told
+    apart by the join only where they don't link.  Rows without a doc_id can't stand for a
+    group and stay, each text once.
+    """
+    docs = docs.select(*COLUMNS)
+    text = [F.xxhash64("text").alias("_one"), F.xxhash64(F.lit("b"), "text").alias("_two")]
+    key = ["doc_id", "_one", "_two"]
+    first = (
+        jaccard_join.similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    )
+    named = docs.join(first, "doc_id", "left_semi").select("*", *text).dropDuplicates(key)
+    unnamed = docs.where("doc_id IS NULL").select("*", *text).dropDuplicates(key)
+    return named.union(unnamed).select(*COLUMNS)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; live credentials in their texts are masked."""
+    return secret_scan.masked(docs.select(*COLUMNS))
+
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a sequence, with its token ids."""
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("quality_rules", quality_stage),
+    ("jaccard_join", near_copies_stage),
+    ("secret_scan", secrets_stage),
+    ("packing", packing_stage),
+]
 ORACLE_SQL = None
 
 
