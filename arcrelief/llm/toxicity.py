@@ -16,50 +16,70 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import map_batches, staged
+
 SIZES = (3, 4, 5, 6)
 BITS = 20
 _PAD = b" " * max(SIZES)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xD6E8FEB86659FD93)
+_BASE, _MIX = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
-def gram_buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each n-gram size: the bucket at each place of the joined texts, and the place of
+def gram_buckets(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each n-gram size the bucket at each place of the joined texts, and the place of
     each text's first gram.  Between texts there are more spaces than a gram has bytes."""
     data = [t.encode().lower() for t in texts]
     joined = np.frombuffer(_PAD + b"".join(x + _PAD for x in data), np.uint8)
     begins = np.cumsum([0] + [len(x) + len(_PAD) for x in data])[:-1]
+    found = []
     with np.errstate(over="ignore"):
-        codes = joined.astype(np.uint64) + np.uint64(1)
-        rolled = codes.copy()
+        codes = joined.astype(np.uint32) + np.uint32(1)
+        rolled = codes
         for n in range(2, max(SIZES) + 1):
-            rolled = rolled[:-1] * _BASE + codes[n - 1:]
+            rolled = rolled[:-1] * _BASE
+            rolled += codes[n - 1:]
             if n in SIZES:
-                mixed = (rolled ^ (rolled >> np.uint64(29))) * _MIX
-                yield (mixed >> np.uint64(64 - BITS)).astype(np.int32), begins
-
-
-def present(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) pairs without repeats; only buckets where ``wanted`` is set, if given."""
-    pairs = []
-    for buckets, begins in gram_buckets(texts):
-        if wanted is None:
-            places = np.arange(len(buckets))
-        else:
-            places = np.flatnonzero(wanted[buckets])
-        # a gram belongs to the last text that has begun; the pad before it is its own
-        owner = np.searchsorted(begins, places, "right") - 1
-        pairs.append(np.unique(owner.astype(np.int64) << BITS | buckets[places]))
-    found = np.unique(np.concatenate(pairs))
-    return found >> BITS, found & ((1 << BITS) - 1)
-
-
-def _slices(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
+                mixed = rolled ^ (rolled >> np.uint32(15))
+                mixed *= _MIX
+                mixed >>= np.uint32(32 - BITS)
+                found.append(mixed.view(np.int32))
+    return found, begins
+
+
+def each_present(texts: list[str], last: np.ndarray) -> Iterator[np.ndarray]:
+    """The buckets that each text holds, without repeats and without sorting.
+
+    ``last`` is scratch of one place for each bucket: the place where a bucket was put last is
+    the one that counts.
+    """
+    found, begins = gram_buckets(texts)
+    ends = [*begins[1:], None]  # a gram belongs to the last text that has begun
+    for begin, end in zip(begins, ends):
+        own = np.concatenate([x[begin:end] for x in found])
+        places = np.arange(len(own), dtype=np.int32)
+        last[own] = places
+        yield own[last[own] == places]
+
+
+def present(texts: list[str], number: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) pairs without repeats, in order; ``number``: the feature of each bucket,
+    below ``width``, or -1."""
+    found, begins = gram_buckets(texts)
+    lengths = np.diff([*begins, len(found[0])])
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    held = np.zeros(len(texts) * width, bool)
+    for buckets in found:
+        features = number[buckets]
+        places = np.flatnonzero(features >= 0)
+        held[owner[places].astype(np.int64) * width + features[places]] = True
+    return np.divmod(np.flatnonzero(held), max(width, 1))
+
+
+def _slices(texts: list[str], most: int = 200_000, most_texts: int = 500) -> Iterator[list[str]]:
     run, held = [], 0
     for text in texts:
         run.append(text)
         held += len(text)
-        if held >= most:
+        if held >= most or len(run) >= most_texts:
             yield run
             run, held = [], 0
     if run:
@@ -74,10 +94,15 @@ class Model:
     buckets: np.ndarray
     weights: np.ndarray
 
-    def table(self) -> np.ndarray:
-        table = np.zeros(1 << BITS, np.float32)
-        table[self.buckets] = self.weights
-        return table
+    def number(self) -> np.ndarray:
+        return numbered(self.buckets)
+
+
+def numbered(buckets: np.ndarray) -> np.ndarray:
+    """The place in ``buckets`` of each bucket, -1 for those that aren't in it."""
+    number = np.full(1 << BITS, -1, np.int32)
+    number[buckets] = np.arange(len(buckets))
+    return number
 
 
 def log_count_ratio(toxic, other, n_toxic, n_other, alpha: float = 1.0) -> np.ndarray:
@@ -129,6 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, 1 << BITS), np.int64)
+        last = np.zeros(1 << BITS, np.int32)
         seen = np.zeros(2, np.int64)
         for batch in batches:
             toxic, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
@@ -136,11 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000,
             for run in _slices(texts):
                 kinds = toxic[at:at + len(run)]
                 at += len(run)
-                owner, bucket = present(run)
                 seen += (np.count_nonzero(kinds != 1), np.count_nonzero(kinds == 1))
-                for k in (0, 1):
-                    totals[k] += np.bincount(bucket[(kinds[owner] == 1) == bool(k)],
-                                             minlength=1 << BITS)
+                for kind, buckets in zip(kinds, each_present(run, last)):
+                    totals[int(kind == 1)][buckets] += 1
         some = np.flatnonzero(totals.sum(0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some), pa.array(totals[0][some]), pa.array(totals[1][some])],
@@ -149,12 +173,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000,
             [pa.array(np.array([-1])), pa.array(seen[:1]), pa.array(seen[1:])],
             ["bucket", "other", "toxic"])
 
-    counts = (
-        sample.mapInArrow(count, "bucket LONG, other LONG, toxic LONG")
+    counts = staged(
+        map_batches(sample, count, "bucket LONG, other LONG, toxic LONG")
         .groupBy("bucket")
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-        .where(F.expr(f"bucket < 0 OR other + toxic >= {least_texts}"))
-    )
+        .where(F.expr(f"bucket < 0 OR other + toxic >= {least_texts}")), "gram-counts")
     whole = counts.where("bucket < 0").first()
     nothing = Model(0.0, np.zeros(0, np.int64), np.zeros(0, np.float32))
     if whole is None or not whole["toxic"] or not whole["other"]:
@@ -167,27 +190,24 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000,
     )
     buckets = best["bucket"].to_numpy()
     ratio = log_count_ratio(best["toxic"].to_numpy(), best["other"].to_numpy(), n1, n0)
-    wanted = np.zeros(1 << BITS, bool)
-    wanted[buckets] = True
+    number, width = numbered(buckets), len(buckets)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, texts = batch.column(0), batch.column(1).to_pylist()
             at = 0
             for run in _slices(texts):
-                owner, bucket = present(run, wanted)
+                owner, feature = present(run, number, width)
                 ends = np.searchsorted(owner, np.arange(len(run) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [toxic.slice(at, len(run)), lists], ["toxic", "buckets"])
+                    [toxic.slice(at, len(run)), lists], ["toxic", "features"])
                 at += len(run)
 
-    rows = sample.mapInArrow(hits, "toxic INT, buckets ARRAY<INT>").toArrow().combine_chunks()
-    lists = rows["buckets"].combine_chunks()
+    rows = map_batches(sample, hits, "toxic INT, features ARRAY<INT>").toArrow().combine_chunks()
+    lists = rows["features"].combine_chunks()
     owner = np.repeat(np.arange(len(rows)), lists.value_lengths().to_numpy())
-    number = np.zeros(1 << BITS, np.int64)
-    number[buckets] = np.arange(len(buckets))
-    column = number[lists.flatten().to_numpy()]
+    column = lists.flatten().to_numpy()
     y = (rows["toxic"].to_numpy() == 1).astype(float)
     bias, weights = logistic(owner, column, ratio[column], y)
     weights = np.pad(weights, (0, len(buckets) - len(weights))) * ratio
@@ -202,16 +222,16 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     """
     names = list(keep)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.bias, model.table()))  # of a fixed size
+    shared = spark.sparkContext.broadcast(model)  # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bias, table = shared.value
-        wanted = table != 0
+        model = shared.value
+        number, weights = model.number(), model.weights.astype(float)
         for batch in batches:
             texts, scores = batch.column(len(names)).to_pylist(), []
             for part in _slices(texts):
-                owner, bucket = present(part, wanted)
-                margin = bias + np.bincount(owner, table[bucket], len(part))
+                owner, feature = present(part, number, len(weights))
+                margin = model.bias + np.bincount(owner, weights[feature], len(part))
                 scores.append(1 / (1 + np.exp(-margin)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(names)], pa.array(np.concatenate(scores or [np.zeros(0)]))],
@@ -219,8 +239,8 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
 
     kept = docs.select(*names)
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-    return docs.select(*names, F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(
-        run, ", ".join([*schema, "score DOUBLE"]))
+    rows = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))
+    return map_batches(rows, run, ", ".join([*schema, "score DOUBLE"]))
 
 
 def held_out(doc_id: str = "doc_id"):
