@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import staged
+from .store import map_batches, staged
 
 BITS = 25  # of a bitmap: 4 MB
 SKETCH = 2048  # places of a sketch: 256 bytes
@@ -43,7 +43,7 @@ class _WordHashes(dict):
     """8-byte hashes of words; forgets all at a size."""
 
     def __missing__(self, word):
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_digest(word)
         return value
@@ -90,7 +90,7 @@ def _counted(rows: DataFrame, size: int, percent: int) -> DataFrame:
                 low = [s[:3 * (len(s) - need_of(len(s), percent) + 1) // 2] for s in found]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(low))], ["token"])
 
-    return rows.select("text").mapInArrow(run, "token LONG")
+    return map_batches(rows.select("text"), run, "token LONG")
 
 
 def sketch_of(tokens: np.ndarray) -> np.ndarray:
@@ -136,9 +136,10 @@ def _sketched(rows: DataFrame, size: int, percent: int, often: np.ndarray) -> Da
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))],
                     ["doc_id", "text_key", "node", "n", "grp", "sketch", "prefix"])
 
-    return rows.select("doc_id", "text_key", "text").mapInArrow(
-        run, "doc_id LONG, text_key LONG, node LONG, n INT, grp LONG, sketch BINARY,"
-             " prefix ARRAY<LONG>")
+    return map_batches(
+        rows.select("doc_id", "text_key", "text"), run,
+        "doc_id LONG, text_key LONG, node LONG, n INT, grp LONG, sketch BINARY,"
+        " prefix ARRAY<LONG>")
 
 
 def _whole(rows: DataFrame, size: int) -> DataFrame:
@@ -156,7 +157,7 @@ def _whole(rows: DataFrame, size: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
                     ["node", "tokens"])
 
-    return rows.select("text").mapInArrow(run, "node LONG, tokens ARRAY<LONG>")
+    return map_batches(rows.select("text"), run, "node LONG, tokens ARRAY<LONG>")
 
 
 def _bitmap(rows: DataFrame, column: str) -> np.ndarray:
@@ -195,7 +196,7 @@ def _only(rows: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(_in_bitmap(shared.value, batch.column(at).to_numpy())))
 
-    return rows.mapInArrow(run, rows.schema)
+    return map_batches(rows, run, rows.schema)
 
 
 def links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -299,10 +300,11 @@ def _by_pair(members: DataFrame, column: str, schema: str, compare) -> DataFrame
         if pair is not None:
             yield batch_of(rows())
 
-    return (
+    together = (
         members.select("ga", "gb", "grp", "node", "n", column)
-        .repartition("ga", "gb").sortWithinPartitions("ga", "gb").mapInArrow(run, schema)
+        .repartition("ga", "gb").sortWithinPartitions("ga", "gb")
     )
+    return map_batches(together, run, schema)
 
 
 def _may_link(members: DataFrame, percent: int) -> DataFrame:

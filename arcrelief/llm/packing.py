@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .store import give_back, map_batches
 
 
 class BinTree:
@@ -125,6 +126,7 @@ def pack(docs: DataFrame, vocabulary: str = tokens.BYTE_BPE, room: int = 1024, e
                 for column, value in zip(out.values(), row):
                     column.append(value)
                 offset += length
+        give_back()
         return pa.Table.from_pydict(out, _PIECES)
 
     rows = docs.select(
@@ -132,7 +134,7 @@ def pack(docs: DataFrame, vocabulary: str = tokens.BYTE_BPE, room: int = 1024, e
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    encoded = rows.mapInArrow(encode, "group LONG, doc_id LONG, ids BINARY, width INT")
+    encoded = map_batches(rows, encode, "group LONG, doc_id LONG, ids BINARY, width INT")
     return encoded.groupBy("group").applyInArrow(
         pack_table,
         "doc_id LONG, start LONG, length LONG, ids BINARY, doc_tokens LONG, sequence_id LONG,"

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import map_batches
+
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 SPACE = "▁"  # stands for a space inside pieces
@@ -188,4 +190,4 @@ def encode_and_decode(docs: DataFrame, vocabulary: str = PIECE_BPE) -> DataFrame
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id LONG, ids ARRAY<INT>, decoded STRING")
+    return map_batches(rows, run, "doc_id LONG, ids ARRAY<INT>, decoded STRING")

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import map_batches
+
 WINDOW = 8
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -98,8 +100,8 @@ def text_stats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(names)], *(pa.array(c) for c in table.T)], names + STATS)
 
-    return docs.select(*names, F.coalesce("text", F.lit("")).alias("_text")).mapInArrow(
-        run, ", ".join(schema + [f"{s} LONG" for s in STATS]))
+    rows = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"))
+    return map_batches(rows, run, ", ".join(schema + [f"{s} LONG" for s in STATS]))
 
 
 @dataclass(frozen=True)
