@@ -10,26 +10,29 @@ from .topology import Topology, Transform, neighbours, signed_ref
 
 
 def delta_encode(arcs: DataFrame, transform: Transform) -> DataFrame:
-    """Absolute coordinates to quantised differences: arc_id, pos, dx, dy (z stays absolute)."""
+    """Absolute coordinates to quantised differences: arc_id, pos, dx, dy; z, if any, stays absolute."""
 
     def step(axis: str) -> str:
         before = f"if(i = 0, 0L, {transform.encode(axis, f'points[i - 1].{axis}')})"
         return f"{transform.encode(axis, f'p.{axis}')} - {before}"
 
-    deltas = f"transform(points, (p, i) -> named_struct('dx', {step('x')}, 'dy', {step('y')}))"
+    has_z = "z" in arcs.schema["points"].dataType.elementType.names
+    z = ", 'z', p.z" if has_z else ""
+    deltas = f"transform(points, (p, i) -> named_struct('dx', {step('x')}, 'dy', {step('y')}{z}))"
     return arcs.selectExpr("arc_id", f"posexplode_outer({deltas}) AS (pos, d)").selectExpr(
-        "arc_id", "pos", "d.dx AS dx", "d.dy AS dy"
+        "arc_id", "pos", "d.*"
     )
 
 
 def delta_decode(deltas: DataFrame, transform: Transform) -> DataFrame:
-    """Running sums of the differences back to coordinates: arc_id, pos, x, y."""
+    """Running sums of the differences back to coordinates: arc_id, pos, x, y, and z if there is one."""
+    z = [c for c in deltas.columns if c == "z"]
     along = Window.partitionBy("arc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     summed = deltas.select(
-        "arc_id", "pos", F.sum("dx").over(along).alias("qx"), F.sum("dy").over(along).alias("qy")
+        "arc_id", "pos", F.sum("dx").over(along).alias("qx"), F.sum("dy").over(along).alias("qy"), *z
     )
     return summed.selectExpr(
-        "arc_id", "pos", f"{transform.decode('x', 'qx')} AS x", f"{transform.decode('y', 'qy')} AS y"
+        "arc_id", "pos", f"{transform.decode('x', 'qx')} AS x", f"{transform.decode('y', 'qy')} AS y", *z
     )
 
 
@@ -57,11 +60,13 @@ def topology_rows(topology: Topology) -> DataFrame:
     Kinds are arc, entity, transform and neighbours; partition the sink by ``kind``.
     """
     t = topology.transform
+    has_z = "z" in topology.arcs.schema["points"].dataType.elementType.names
+    z = ", p.z" if has_z else ""
     qx, qy = ("p.x - if(i = 0, p.x - p.x, points[i - 1].x)",
               "p.y - if(i = 0, p.y - p.y, points[i - 1].y)") if t else ("p.x", "p.y")
     arcs = topology.arcs.selectExpr(
         "'arc' AS kind", "arc_id AS id",
-        f"to_json(transform(points, (p, i) -> array({qx}, {qy}))) AS data",
+        f"to_json(transform(points, (p, i) -> array({qx}, {qy}{z}))) AS data",
     )
     refs = (
         topology.ring_arcs.groupBy("entity_id", "gid", "type", "ring")

@@ -64,12 +64,13 @@ def dissolve(ring_arcs: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
             "k AS ok", "arc_id AS oid", "ptr AS optr", "ring AS oring", "ahead AS oahead",
             "span AS ospan",
         )
+        # where borders don't close, a chain ends: its arcs keep what they have found so far
         state = materialise(
-            state.join(other, F.expr("k <=> ok AND ptr = oid")).selectExpr(
+            state.join(other, F.expr("k <=> ok AND ptr = oid"), "left").selectExpr(
                 "k", "arc_id", "backward", "optr AS ptr",
                 "least(ring, oring) AS ring",
-                "if(oring < ring, span + oahead, ahead) AS ahead",
-                "span + ospan AS span", "oring < ring AS moved",
+                "if(coalesce(oring < ring, false), span + oahead, ahead) AS ahead",
+                "span + coalesce(ospan, 0L) AS span", "coalesce(oring < ring, false) AS moved",
             )
         )
         if state.filter("moved").isEmpty():

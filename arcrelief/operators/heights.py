@@ -10,7 +10,7 @@ from ..functions.ids import with_dense_id
 from ..session import materialise
 from .nearest import BEST, TO_POINT, nearest, nearest_in_group
 from .spatial import arcs_meeting_boxes, patches_of, points_in_polygons
-from .topology import Topology, arc_ids_of
+from .topology import Topology, arc_ids_of, real_arcs, real_entities
 
 GROUND, ROOF = 2, 6
 
@@ -75,12 +75,12 @@ def arc_heights(
 
     Every vertex takes the z of the nearest point of the class within its nearest patch.
     The patch is chosen first, so a patch without such a point gives z = 0;
-    ``require_class`` chooses among patches that have one.
+    ``require_class`` chooses among patches that have one.  x and y are real coordinates.
     """
     wanted = points_by_class(points, classification)
     patches = materialise(patches_of(wanted if require_class else points))
     ids = arc_ids_of(topology.ring_arcs, types)
-    vertices = arc_vertices(topology.arcs.join(ids, "arc_id", "left_semi"))
+    vertices = arc_vertices(real_arcs(topology).join(ids, "arc_id", "left_semi"))
     placed = nearest_patch(vertices.select("x", "y").distinct(), patches)
     heights = nearest_point_z(placed.drop("d2"), wanted, patches).select("x", "y", "z")
     return vertices.join(heights, ["x", "y"], "left").selectExpr(
@@ -132,9 +132,11 @@ def arc_ground_points(arcs: DataFrame, points: DataFrame, classification: int) -
 
 
 def update_arcs(arcs: DataFrame, heights: DataFrame) -> DataFrame:
-    """Arcs with 3D points where new heights exist; the others keep theirs (z NULL)."""
+    """Arcs with 3D points where new heights exist; the others keep theirs (NULL if they have none)."""
     new = collect_arcs(heights).withColumnRenamed("points", "new_points")
-    kept = "transform(points, p -> named_struct('x', p.x, 'y', p.y, 'z', CAST(NULL AS DOUBLE)))"
+    has_z = "z" in arcs.schema["points"].dataType.elementType.names
+    z = "double(p.z)" if has_z else "CAST(NULL AS DOUBLE)"
+    kept = f"transform(points, p -> named_struct('x', p.x, 'y', p.y, 'z', {z}))"
     return arcs.join(new, "arc_id", "left").selectExpr(
         "arc_id", f"coalesce(new_points, {kept}) AS points"
     )
@@ -159,7 +161,8 @@ def roof_height(
     )
     inside = points_in_polygons(summed, features, list(keys), erosion=erosion)
     means = inside.groupBy(*keys).agg(F.expr("sum(sum_z) / sum(n) AS z"), F.expr("sum(n) AS n"))
-    return features.select(*keys).join(means, list(keys), "left").selectExpr(
+    # the parts of a multi-part building are one building
+    return features.select(*keys).distinct().join(means, list(keys), "left").selectExpr(
         *keys, "coalesce(z, 0.0D) AS z", "coalesce(n, 0L) AS n_points", "n IS NOT NULL AS has_roof"
     )
 
@@ -173,9 +176,9 @@ def raise_entities(
     its height (arc_id, source_arc_id, entity_id, z, points); the copies are numbered after
     the existing arcs by entity, ring and position.  ``ring_arcs`` is the whole table with
     the uses of these entities pointing to the copies, direction kept; all other uses still
-    point to the original arcs.
+    point to the original arcs.  Points are in real coordinates.
     """
-    chosen = topology.entities.filter(types)
+    chosen = real_entities(topology).filter(types)
     heights = roof_height(points, chosen, erosion, keys=("entity_id",)).select("entity_id", "z")
     first = topology.arcs.agg(F.max("arc_id")).first()[0]
     uses = topology.ring_arcs.filter(types)
@@ -185,7 +188,7 @@ def raise_entities(
     )
     raised = (
         numbered.join(heights, "entity_id")
-        .join(topology.arcs.withColumnRenamed("arc_id", "source_arc_id"), "source_arc_id")
+        .join(real_arcs(topology).withColumnRenamed("arc_id", "source_arc_id"), "source_arc_id")
         .selectExpr(
             "arc_id", "source_arc_id", "entity_id", "z",
             "transform(points, p -> named_struct('x', p.x, 'y', p.y, 'z', z)) AS points",

@@ -39,6 +39,12 @@ class Transform:
         k, d = (self.kx, self.dx) if axis == "x" else (self.ky, self.dy)
         return f"({value} * {k!r}D + {d!r}D)"
 
+    def decode_point(self, p: str, *others: str) -> str:
+        """A point with real coordinates; ``others`` are further fields to keep."""
+        kept = "".join(f", '{f}', {p}.{f}" for f in others)
+        return (f"named_struct('x', {self.decode('x', f'{p}.x')},"
+                f" 'y', {self.decode('y', f'{p}.y')}{kept})")
+
 
 @dataclass(frozen=True)
 class Topology:
@@ -57,6 +63,28 @@ class Topology:
     transform: Transform | None = None
 
 
+def real_arcs(topology: Topology) -> DataFrame:
+    """arc_id and points in real coordinates; quantised integers only serve as join keys."""
+    if topology.transform is None:
+        return topology.arcs
+    point = topology.transform.decode_point("p", *_more_fields(topology.arcs.schema["points"].dataType))
+    return topology.arcs.withColumn("points", F.expr(f"transform(points, p -> {point})"))
+
+
+def real_entities(topology: Topology) -> DataFrame:
+    """Entities with their rings in real coordinates."""
+    if topology.transform is None:
+        return topology.entities
+    point = topology.transform.decode_point("p")
+    return topology.entities.withColumn(
+        "rings", F.expr(f"transform(rings, ring -> transform(ring, p -> {point}))")
+    )
+
+
+def _more_fields(points) -> list[str]:
+    return [f for f in points.elementType.names if f not in ("x", "y")]
+
+
 def quantize_transform(features: DataFrame, q: float) -> DataFrame:
     """One row (kx, ky, dx, dy) for ``q`` steps per axis; scale 1 for an empty extent."""
     extent = features.selectExpr(*g.bbox("flatten(rings)")).selectExpr(
@@ -155,15 +183,22 @@ def _pieces(entities: DataFrame) -> DataFrame:
         "transform(filter(v, p -> p.node), p -> p.pos) AS nodes",
     )
     # from each junction to the next one around the ring, both included
+    # a piece that runs over the ring's end goes on at its start; each copies its own points only
     stretch = (
-        "transform(nodes, (n, i) -> slice(concat(line, line), n + 1, if(i = size(nodes) - 1,"
-        " nodes[0] + size(line), nodes[i + 1]) - n + 1))"
+        "transform(nodes, (n, i) -> if(i = size(nodes) - 1,"
+        " concat(slice(line, n + 1, size(line) - n), slice(line, 1, nodes[0] + 1)),"
+        " slice(line, n + 1, nodes[i + 1] - n + 1)))"
     )
     cut = rings.filter("size(nodes) > 0").selectExpr(*keys, f"posexplode_outer({stretch}) AS (pos, line)")
     cut = cut.selectExpr(*keys, "pos", "line", "least(line, reverse(line)) AS points")
     # a ring without junctions is one closed arc starting at its least point
     def anchored(line: str) -> str:
-        starts = f"filter(sequence(0, size({line}) - 1), i -> {line}[i] = array_min({line}))"
+        # the least point is found once, as the first field of the structs that are compared
+        starts = (
+            f"transform(array({line}), l -> aggregate(l, named_struct('m', l[0], 'i', 0,"
+            " 'at', array_repeat(0, 0)), (s, p) -> named_struct('m', least(s.m, p), 'i', s.i + 1,"
+            " 'at', if(p < s.m, array(s.i), if(p = s.m, concat(s.at, array(s.i)), s.at)))).at)[0]"
+        )
         return f"array_min(transform({starts}, i -> {g.rotate(line, 'i')}))"
 
     free = (
@@ -194,7 +229,8 @@ def build_topology(features: DataFrame, q: float = 0) -> Topology:
     transform = None
     if q:
         row = quantize_transform(features, q).first()
-        transform = Transform(row.kx, row.ky, row.dx, row.dy)
+        # no features, no extent: the identity keeps the types of quantised tables
+        transform = Transform() if row.dx is None else Transform(row.kx, row.ky, row.dx, row.dy)
         features = quantize(features, transform)
     entities = with_dense_id(clean_rings(features), ENTITY_KEYS, "entity_id", start=1)
     pieces = materialise(_pieces(entities))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import assemble, heights
 from ..operators.spatial import in_box
-from ..operators.topology import Topology, build_topology
+from ..operators.topology import Topology, build_topology, real_arcs
 
 TERRAIN = "type != 'pand'"
 BUILDING = "type = 'pand'"
@@ -34,9 +34,12 @@ def build_step(
 
 
 def height_step(step: Raised, points: DataFrame) -> DataFrame:
-    """All arcs with 3D points: terrain arcs on the ground, raised arcs at roof height."""
+    """All arcs with 3D points: terrain arcs on the ground, raised arcs at roof height.
+
+    Coordinates are real ones, also where the topology is quantised.
+    """
     ground = heights.arc_heights(step.topology, points, TERRAIN, heights.GROUND)
-    return heights.update_arcs(step.topology.arcs, ground).unionByName(
+    return heights.update_arcs(real_arcs(step.topology), ground).unionByName(
         step.raised_arcs.select("arc_id", "points")
     )
 

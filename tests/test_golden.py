@@ -179,3 +179,64 @@ def test_source_scans(spark, tmp_path, sf_dir):
     squares(spark).write.parquet(path)
     scanned = tables.read_polygons(spark, path, "b", type_=F.lit("pand"))
     assert {(r.source, r.type) for r in scanned.collect()} == {("b", "pand")}
+
+
+def solids_of(spark, q, features, points):
+    step = pipeline.build_step(features, points, erosion=5, q=q)
+    found = pipeline.polygons_step(step, pipeline.height_step(step, points)).collect()
+    return {r.gid: sorted((round(p.x, 3), round(p.y, 3), p.z) for ring in r.rings for p in ring)
+            for r in found}
+
+
+def test_quantised_pipeline_gives_real_coordinates_and_heights(spark):
+    hole = box(30, 30, 70, 70)
+    land = polygons(spark, [
+        ("a", 1, "land", [box(0, 0, 100, 100), hole[::-1]]), ("b", 2, "pand", [hole]),
+    ])
+    points = cloud(spark, [(1, 1, 1, 3, 2), (1, 99, 99, 3, 2), (1, 50, 50, 8, 6)])
+    plain, fine = (solids_of(spark, q, land, points) for q in (0, 1e9))
+    assert plain == fine and {z for _, _, z in fine[2]} == {8.0}
+    points = cloud(spark, [(1, 1, 50, 2, 2), (1, 99, 99, 2, 2), (2, 50, 150, 5, 2), (2, 50, 199, 5, 2)])
+    assert solids_of(spark, 0, squares(spark), points) == solids_of(spark, 1e9, squares(spark), points)
+
+
+def test_quantised_empty_selection(spark):
+    points = cloud(spark, [(1, 1, 1, 3, 2)])
+    step = pipeline.build_step(squares(spark), points, erosion=5, bounds=(900, 900, 901, 901), q=1e9)
+    assert pipeline.polygons_step(step, pipeline.height_step(step, points)).count() == 0
+
+
+def test_second_update_keeps_earlier_heights(spark):
+    arcs = topology.build_topology(squares(spark)).arcs
+    at = lambda arc, z: heights.arc_vertices(arcs).where(f"arc_id = {arc}").selectExpr(
+        "arc_id", "pos", "x", "y", f"double({z}) AS z")
+    twice = heights.update_arcs(heights.update_arcs(arcs, at(0, 3)), at(1, 4))
+    found = {r.arc_id: {p.z for p in r.points} for r in twice.collect()}
+    assert found == {0: {3.0}, 1: {4.0}, 2: {None}}
+    deltas = arc_ops.delta_encode(twice, topology.Transform())
+    back = arc_ops.delta_decode(deltas, topology.Transform())
+    assert {(r.arc_id, r.z) for r in back.collect()} == {(0, 3.0), (1, 4.0), (2, None)}
+
+
+def test_dissolve_loses_no_arc_of_overlapping_polygons(spark):
+    t = topology.build_topology(polygons(spark, [
+        ("a", 1, "k", [box(0, 0, 100, 100)]),
+        ("a", 2, "k", [[(0, 0), (100, 0), (100, 50), (0, 50)]]),
+    ]))
+    boundary = edit.dissolve_boundary(t.ring_arcs, "type")
+    assert edit.dissolve(t.ring_arcs, t.arcs, "type").count() == boundary.count() > 0
+
+
+def test_multi_part_building_has_one_height(spark):
+    parts = polygons(spark, [("b", 1, "pand", [box(0, 0, 10, 10)]), ("b", 1, "pand", [box(20, 0, 30, 10)])])
+    points = cloud(spark, [(1, 5, 5, 4, 6), (1, 25, 5, 8, 6)])
+    rows = heights.roof_height(points, parts, 1).collect()
+    assert [(r.gid, r.z, r.n_points) for r in rows] == [(1, 6.0, 2)]
+
+
+def test_free_ring_of_many_vertices(spark):
+    n = 3000
+    ring = [(i, i * i) for i in range(n)]
+    t = topology.build_topology(polygons(spark, [("a", 1, "k", [ring[7:] + ring[:7]])]))
+    points = t.arcs.first().points
+    assert len(points) == n + 1 and tuple(points[0]) == (0, 0) == tuple(points[-1])
