@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..session import materialise
+from .spatial import points_in_polygons
+from .topology import Topology
 
 
 def dissolve_boundary(ring_arcs: DataFrame, key: str) -> DataFrame:
-    """Arcs used once per key value, i.e. without those between two of its entities.
+    """Arcs with entities of a key value on one side only, whatever number of them.
 
     ``backward`` tells the walking direction that has the inside on the left.  A NULL key
     is a group of its own.
@@ -22,14 +24,36 @@ def dissolve_boundary(ring_arcs: DataFrame, key: str) -> DataFrame:
     return (
         ring_arcs.groupBy(key, "arc_id")
         .agg(
+            F.count_if(F.expr("reversed = interior_left")).alias("n_right"),
             F.count(F.lit(1)).alias("n"),
-            F.first(F.expr("reversed = interior_left")).alias("backward"),
         )
-        .filter("n = 1")
-        .drop("n")
+        .filter("n_right = 0 OR n_right = n")
+        .selectExpr(key, "arc_id", "n_right > 0 AS backward")
     )
 
 
+def uncovered(boundary: DataFrame, topology: Topology, key: str) -> DataFrame:
+    """``boundary`` without the arcs that run inside another entity of the same key value.
+
+    Where entities overlap, arcs of one lie inside others: beside them both sides are covered.
+    One point of each arc decides, as borders only meet at common vertices.  The test
+    is a join on grid cells; entities that use an arc don't count for it.
+    """
+    middle = boundary.join(topology.arcs.select("arc_id", "points"), "arc_id").selectExpr(
+        f"{key} AS _key", "arc_id",
+        "(double(points[0].x) + points[1].x) / 2 AS x", "(double(points[0].y) + points[1].y) / 2 AS y",
+    )
+    entities = topology.entities.selectExpr("entity_id", f"{key} AS _entity_key", "rings")
+    users = topology.ring_arcs.select("entity_id", "arc_id").distinct()
+    inside = (
+        points_in_polygons(middle, entities, ["entity_id", "_entity_key"])
+        .filter("_key <=> _entity_key")
+        .join(users, ["entity_id", "arc_id"], "left_anti")
+        .selectExpr("_key", "arc_id AS _arc").distinct()
+    )
+    return boundary.join(inside, F.expr(f"{key} <=> _key AND arc_id = _arc"), "left_anti")
+
+
 def boundary_size(boundary: DataFrame, arcs: DataFrame, by: list[str]) -> DataFrame:
     """Number of arcs, vertices, length and twice the area inside, per group."""
     edges = g.path_edges("points")
@@ -46,7 +70,13 @@ def boundary_size(boundary: DataFrame, arcs: DataFrame, by: list[str]) -> DataFr
 
 
 def dissolve(ring_arcs: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
-    """Boundary rings per key value: key, ring, pos, arc_id, backward.
+    """Boundary rings per key value of entities that don't overlap: key, ring, pos, arc_id,
+    backward."""
+    return stitch(dissolve_boundary(ring_arcs, key), arcs, key)
+
+
+def stitch(boundary: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
+    """Boundary arcs (key, arc_id, backward) put together to rings: ring and pos are added.
 
     Every boundary arc knows its follower at its end point: the first one clockwise, which
     keeps to the same piece of the inside where several meet.  Followers form rings; the
@@ -54,7 +84,7 @@ def dissolve(ring_arcs: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
     about log2(longest ring) joins on unique keys, so one key value may own any share of
     the rows.
     """
-    state = materialise(_followers(dissolve_boundary(ring_arcs, key), arcs, key))
+    state = materialise(_followers(boundary, arcs, key))
     state = state.selectExpr(
         f"{key} AS k", "arc_id", "backward", "follower AS ptr", "arc_id AS ring", "0L AS ahead",
         "1L AS span",
@@ -81,6 +111,56 @@ def dissolve(ring_arcs: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
     ).selectExpr(f"k AS {key}", "ring", "int((n - ahead) % n) AS pos", "arc_id", "backward")
 
 
+def dissolve_polygons(topology: Topology, key: str) -> DataFrame:
+    """Polygons with holes per key value: key, polygon, is_hole, ring, double_area, line.
+
+    A row for each ring of the union of a key value's entities, which may touch, overlap, be
+    nested or be equal; where they overlap, their borders must meet at common vertices.
+    ``polygon`` is the ring (the smallest arc id) of the outer border.  Outer rings run
+    counter-clockwise, holes clockwise, both with the inside on their left; a hole belongs to the
+    smallest outer ring around it.  ``line`` is an open array of points in the topology's coordinates.
+    Rings are rows of their own, so a polygon may have any number of holes; ``polygon_rows``
+    gathers them.  A hole that no ring surrounds (borders that don't close) has a NULL polygon.
+    """
+    arcs = materialise(topology.arcs.select("arc_id", "points"))
+    boundary = materialise(uncovered(dissolve_boundary(topology.ring_arcs, key), topology, key))
+    pieces = stitch(boundary, arcs, key).join(arcs, "arc_id").selectExpr(
+        key, "ring", "pos",
+        "slice(if(backward, reverse(points), points), 1, size(points) - 1) AS line",
+    )
+    rings = materialise(
+        pieces.groupBy(key, "ring")
+        .agg(F.expr("flatten(transform(array_sort(collect_list(struct(pos, line))), s -> s.line)) AS line"))
+        .selectExpr(key, "ring", "line", f"{g.double_area('line')} AS double_area")
+    )
+    outer = rings.filter("double_area > 0")
+    holes = rings.filter("double_area <= 0")
+    probes = holes.selectExpr(
+        f"{key} AS _key", "ring AS hole",
+        "(double(line[0].x) + line[1].x) / 2 AS x", "(double(line[0].y) + line[1].y) / 2 AS y",
+    )
+    around = outer.selectExpr(f"{key} AS _outer_key", "ring AS _outer", "double_area AS _area", "array(line) AS rings")
+    nested = (
+        points_in_polygons(probes, around, ["_outer_key", "_outer", "_area"])
+        .filter("_key <=> _outer_key")
+        .groupBy("_key", "hole").agg(F.expr("min(named_struct('a', _area, 'o', _outer)).o AS polygon"))
+    )
+    placed = holes.join(nested, F.expr(f"{key} <=> _key AND ring = hole"), "left")
+    out = [key, "polygon", "is_hole", "ring", "double_area", "line"]
+    return (
+        outer.selectExpr("*", "ring AS polygon", "false AS is_hole").select(*out)
+        .unionByName(placed.selectExpr(*rings.columns, "polygon", "true AS is_hole").select(*out))
+    )
+
+
+def polygon_rows(rings: DataFrame, key: str) -> DataFrame:
+    """One row per polygon of ``dissolve_polygons``: key, polygon, rings (outer first), double_area."""
+    return rings.filter("polygon IS NOT NULL").groupBy(key, "polygon").agg(
+        F.expr("transform(array_sort(collect_list(struct(is_hole, ring, line))), r -> r.line) AS rings"),
+        F.expr("sum(double_area) AS double_area"),
+    )
+
+
 def _followers(boundary: DataFrame, arcs: DataFrame, key: str) -> DataFrame:
     directed = boundary.join(arcs.select("arc_id", "points"), "arc_id").selectExpr(
         key, "arc_id", "backward", "if(backward, reverse(points), points) AS p"

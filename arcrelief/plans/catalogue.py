@@ -353,6 +353,19 @@ def dissolve(spark, d):
     return edit.boundary_size(found, t.arcs, ["type", "ring"]).drop("length")
 
 
+def dissolve_polygons(spark, d):
+    t = topology.build_topology(materialise(derived.overlapping(spark, d)))
+    rings = edit.dissolve_polygons(t, "type")
+    corner = rings.selectExpr(
+        "type", "polygon", "is_hole", "double_area",
+        "array_min(transform(line, p -> p.x)) AS x", "array_min(transform(line, p -> p.y)) AS y",
+    )
+    return corner.groupBy("type", "polygon").agg(
+        F.expr("sum(double_area) AS double_area"), F.expr("count_if(is_hole) AS n_holes"),
+        F.expr("min(x) AS xmin"), F.expr("min(y) AS ymin"),
+    ).drop("polygon")
+
+
 def vertex_effective_area(spark, d):
     return edit.vertex_effective_area(store(spark, d).topology.arcs)
 
@@ -431,7 +444,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     arc_delta_decode, nearest_patch, nearest_point_z, building_arcs_z, arc_z_from_patches,
     arc_ground_points, arcs_collect, arcs_update, raised_arcs, raised_ring_arcs, rings,
     polygons3d, polygon_vertices, topology_features, outer_rings_geojson, features_geojson,
-    topology_rows, roof_height_rebuilt, dissolve_boundary, dissolve, vertex_effective_area,
+    topology_rows, roof_height_rebuilt, dissolve_boundary, dissolve, dissolve_polygons, vertex_effective_area,
     simplify_arcs, shared_walls, wall_segments, inset_rings, closest_on_boundary, wall_quads,
     polygon_mesh,
 ]

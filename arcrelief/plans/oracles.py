@@ -566,6 +566,7 @@ def oracle_sql() -> dict[str, str]:
               sum(CASE WHEN backward THEN -a2 ELSE a2 END)::BIGINT AS double_area
             FROM bd JOIN nm ON nm.type = bd.type AND nm.arc_id = bd.arc_id
             JOIN am ON am.arc_id = bd.arc_id GROUP BY bd.type, ring"""),
+        "dissolve_polygons": _dissolve_polygons_sql(),
         "vertex_effective_area": _sql(
             TOPO, f"""SELECT {_i('arc_id', 'pos')}, area::DOUBLE AS area FROM (
               SELECT arc_id, pos, abs((lag(x) OVER o - lead(x) OVER o) * (y - lag(y) OVER o)
@@ -608,3 +609,40 @@ def oracle_sql() -> dict[str, str]:
               abs(sum(x * ny - nx * y))::BIGINT AS double_area
             FROM nb GROUP BY entity_id"""),
     }
+
+
+def _dissolve_polygons_sql() -> str:
+    """Unions as sets of unit squares: connected ones are a polygon, the Euler number counts holes."""
+    return """
+    WITH RECURSIVE cell AS (
+      SELECT p_partkey AS k, p_partkey % 50 AS c, CAST(floor(p_partkey / 50) AS BIGINT) AS r FROM part),
+    zone AS (SELECT *, 'zone ' || ((c // 3 + r // 2) % 3) AS type FROM cell),
+    boxes AS (
+      SELECT type, 4 * c AS x, 4 * r AS y, 4 AS w, 4 AS h FROM zone WHERE k % 13 <> 0 OR k % 5 = 0
+      UNION ALL SELECT type, 4 * c + 2, 4 * r + 1, 1, 2 FROM zone WHERE k % 7 = 0
+      UNION ALL SELECT type, 4 * c + 1, 4 * r, 4, 4 FROM zone WHERE k % 11 = 0),
+    unit AS MATERIALIZED (
+      SELECT DISTINCT type, x + i AS x, y + j AS y FROM boxes, range(4) a(i), range(4) b(j)
+      WHERE i < w AND j < h),
+    starts AS (SELECT *, CASE WHEN lag(x) OVER o = x - 1 THEN 0 ELSE 1 END AS s
+      FROM unit WINDOW o AS (PARTITION BY type, y ORDER BY x)),
+    named AS MATERIALIZED (SELECT type, x, y, sum(s) OVER (PARTITION BY type, y ORDER BY x) AS run FROM starts),
+    runs AS MATERIALIZED (SELECT type, y, run, min(x) AS x0, max(x) AS x1,
+      row_number() OVER (ORDER BY type, y, run) AS id FROM named GROUP BY type, y, run),
+    beside AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM runs a JOIN runs b
+      ON a.type = b.type AND abs(a.y - b.y) = 1 AND a.x0 <= b.x1 AND b.x0 <= a.x1),
+    reach AS (SELECT id AS a, id AS b FROM runs
+      UNION SELECT r.a, e.b FROM reach r JOIN beside e ON e.a = r.b),
+    piece AS (SELECT a AS id, min(b) AS p FROM reach GROUP BY a),
+    u AS MATERIALIZED (SELECT p, x, y FROM named n JOIN runs r USING (type, y, run) JOIN piece USING (id)),
+    inner_edges AS (SELECT a.p, count(*) AS n FROM u a JOIN u b
+      ON a.p = b.p AND (b.x = a.x + 1 AND b.y = a.y OR b.x = a.x AND b.y = a.y + 1) GROUP BY a.p),
+    inner_corners AS (SELECT a.p, count(*) AS n FROM u a JOIN u b ON a.p = b.p AND b.x = a.x + 1 AND b.y = a.y
+      JOIN u c ON a.p = c.p AND c.x = a.x AND c.y = a.y + 1
+      JOIN u d ON a.p = d.p AND d.x = a.x + 1 AND d.y = a.y + 1 GROUP BY a.p),
+    sizes AS (SELECT p, count(*) AS n, min(x) AS x, min(y) AS y FROM u GROUP BY p)
+    SELECT (SELECT type FROM runs WHERE id = p) AS type, (2 * 62500 * s.n)::BIGINT AS double_area,
+      (1 - (s.n - coalesce(e.n, 0) + coalesce(c.n, 0)))::BIGINT AS n_holes,
+      (250 * s.x)::BIGINT AS xmin, (250 * s.y)::BIGINT AS ymin
+    FROM sizes s LEFT JOIN inner_edges e USING (p) LEFT JOIN inner_corners c USING (p)
+    """

@@ -104,3 +104,33 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"if(cls = 2 AND ({px} + {py}) % 7 = 0, 1, cls) AS classification",
         )
     )
+
+
+#: Fixed values of ``overlapping``: corners as offsets from the cell corner, all vertices on
+#: common borders at multiples of 250.
+ZONE_SHAPES = {
+    "square": [(0, 0), (250, 0), (500, 0), (750, 0), (1000, 0),
+               (1000, 1000), (750, 1000), (500, 1000), (250, 1000), (0, 1000)],
+    "nested": [(500, 250), (750, 250), (750, 750), (500, 750)],
+    "across": [(250, 0), (500, 0), (750, 0), (1000, 0), (1250, 0),
+               (1250, 1000), (1000, 1000), (750, 1000), (500, 1000), (250, 1000)],
+}
+
+
+def overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares in three zones, some missing, with equal, nested and overlapping ones of their zone."""
+    rings = {name: _ring([(str(x), str(y)) for x, y in shape]) for name, shape in ZONE_SHAPES.items()}
+    chosen = [
+        ("square", "k % 13 != 0", 0), ("square", "k % 5 = 0", 1_000_000),
+        ("nested", "k % 7 = 0", 2_000_000), ("across", "k % 11 = 0", 3_000_000),
+    ]
+    parts = ", ".join(
+        f"if({where}, named_struct('gid', k + {offset}L, 'rings', array({rings[name]})), NULL)"
+        for name, where, offset in chosen
+    )
+    return (
+        _cells(spark, sf_dir)
+        .selectExpr("concat('zone ', (floor(c / 3) + floor(r / 2)) % 3) AS type",
+                    f"explode(filter(array({parts}), f -> f IS NOT NULL)) AS f")
+        .selectExpr("'zone' AS source", "f.gid AS gid", "0 AS part", "type", "f.rings AS rings")
+    )
