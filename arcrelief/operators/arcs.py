@@ -54,7 +54,7 @@ def arc_lines(arcs: DataFrame) -> DataFrame:
     )
 
 
-def topology_rows(topology: Topology) -> DataFrame:
+def topology_rows(topology: Topology, properties: tuple[str, ...] = ("gid", "type")) -> DataFrame:
     """The stored form of a topology: (kind, id, data) with JSON data.
 
     Kinds are arc, entity, transform and neighbours; partition the sink by ``kind``.
@@ -68,26 +68,33 @@ def topology_rows(topology: Topology) -> DataFrame:
         "'arc' AS kind", "arc_id AS id",
         f"to_json(transform(points, (p, i) -> array({qx}, {qy}{z}))) AS data",
     )
+    return arcs.unionByName(other_rows(topology, topology.ring_arcs, properties))
+
+
+def other_rows(topology: Topology, ring_arcs: DataFrame, properties: tuple[str, ...]) -> DataFrame:
+    """The rows of the kinds entity, neighbours and transform; ``ring_arcs`` may be raised ones."""
+    t, named = topology.transform, list(properties)
     refs = (
-        topology.ring_arcs.groupBy("entity_id", "gid", "type", "ring")
+        ring_arcs.groupBy("entity_id", *named, "ring")
         .agg(F.expr(f"array_sort(collect_list(struct(pos, {signed_ref()} AS ref))) AS refs"))
-        .groupBy("entity_id", "gid", "type")
+        .groupBy("entity_id", *named)
         .agg(F.expr("array_sort(collect_list(struct(ring, transform(refs, r -> r.ref) AS refs))) AS rs"))
     )
+    fields = ", ".join(f"'{p}', {p}" for p in named)
     entities = refs.selectExpr(
         "'entity' AS kind", "entity_id AS id",
         "to_json(named_struct('type', 'Polygon', 'arcs', transform(rs, r -> r.refs),"
-        " 'properties', named_struct('gid', gid, 'type', type))) AS data",
+        f" 'properties', named_struct({fields}))) AS data",
     )
     lists = (
-        neighbours(topology.ring_arcs, topology.entities)
+        neighbours(ring_arcs, topology.entities)
         .groupBy("entity_id")
         .agg(F.expr("to_json(array_sort(collect_list(neighbour_id))) AS data"))
         .selectExpr("'neighbours' AS kind", "entity_id AS id", "data")
     )
-    rows = arcs.unionByName(entities).unionByName(lists)
+    rows = entities.unionByName(lists)
     if t:
-        one = topology.arcs.sparkSession.range(1).selectExpr(
+        one = ring_arcs.sparkSession.range(1).selectExpr(
             "'transform' AS kind", "1L AS id",
             f"to_json(named_struct('scale', array({t.kx!r}D, {t.ky!r}D),"
             f" 'translate', array({t.dx!r}D, {t.dy!r}D))) AS data",

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..operators import arcs as arc_ops
 from ..operators import assemble, edit, heights, mesh, spatial, topology, walls
-from ..session import materialise
+from ..session import materialise, scratch_path
 from ..sources import derived, geojson
+from ..sources import store as stored
 from . import pipeline
 
 GROUND_BOX = (9500, 1500, 35500, 8500)
 Q = 1e6
+PER_BUCKET = 2_000  # arcs in a bucket of the stored test topologies
 SIMPLIFY_AREA = 6000.0
 _stores: dict[tuple[str, str], Store] = {}
 
@@ -48,7 +50,7 @@ class Store:
 
     def forget_results(self) -> None:
         """Drop the tables of the later steps, so that the next query computes them."""
-        for name in ("terrain", "raised", "polygons3d"):
+        for name in ("terrain", "raised", "raised_path", "polygons3d"):
             self.__dict__.pop(name, None)
 
     @cached_property
@@ -72,6 +74,16 @@ class Store:
     def patches(self) -> DataFrame:
         return materialise(spatial.patches_of(self.points))
 
+    @cached_property
+    def raised_path(self) -> str:
+        """The raised 3D topology as a stored table."""
+        arcs, uses = self.raised
+        step = pipeline.Raised(self.topology, arcs, uses)
+        solid = heights.update_arcs(self.topology.arcs, self.terrain).unionByName(arcs.select("arc_id", "points"))
+        path = scratch_path(self.spark, "raised")
+        pipeline.store_step(step, solid, path, PER_BUCKET)
+        return path
+
     @cached_property
     def polygons3d(self) -> DataFrame:
         arcs, uses = self.raised
@@ -116,6 +128,50 @@ def topology_rows(spark, d):
     return arc_ops.topology_rows(topology.build_topology(store(spark, d).features, Q))
 
 
+def topology_loaded(spark, d):
+    """A quantised topology written, read back and rebuilt to polygons."""
+    path = scratch_path(spark, "topology")
+    built = topology.build_topology(store(spark, d).features, Q)
+    stored.write_topology(arc_ops.topology_rows(built, pipeline.STORED), path, PER_BUCKET)
+    t = stored.load_topology(spark, path)
+    rebuilt = assemble.polygons(t.ring_arcs, topology.real_arcs(t))
+    return _rounded(assemble.polygon_vertices(rebuilt, ["entity_id", "source", "gid", "type"]), "x", "y")
+
+
+def topology_problems(spark, d):
+    """Findings on the stored raised topology after every 50th arc is gone and every 70th broken."""
+    path = scratch_path(spark, "damaged")
+    rows = spark.read.schema(stored.SCHEMA).parquet(store(spark, d).raised_path)
+    damaged = rows.where("kind != 'arc' OR id % 50 != 7").withColumn(
+        "data", F.expr("if(kind = 'arc' AND id % 70 = 9, '[[1.0,2.0]]', data)"))
+    stored.write_topology(damaged, path, PER_BUCKET)
+    return stored.problems(spark, path).groupBy("kind", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids")).where("reason NOT LIKE 'ring%'")
+
+
+def topology_rows_raised(spark, d):
+    """Vertices of all arcs of the stored raised 3D topology."""
+    arcs = stored.read_arcs(spark, store(spark, d).raised_path, None, whole=True)
+    return _rounded(heights.arc_vertices(arcs), "z")
+
+
+def solids_loaded(spark, d):
+    """3D polygons rebuilt from the stored raised topology."""
+    t = stored.load_topology(spark, store(spark, d).raised_path, whole=True)
+    solids = assemble.polygons(t.ring_arcs, t.arcs)
+    return _rounded(assemble.polygon_vertices(solids, ["entity_id", "source", "gid"]), "z")
+
+
+def arcs_update_twice(spark, d):
+    """A stored topology whose arcs get terrain heights, then those of buildings others."""
+    s, path = store(spark, d), scratch_path(spark, "updated")
+    stored.write_topology(arc_ops.topology_rows(s.topology, pipeline.STORED), path, PER_BUCKET)
+    roofs = heights.arc_heights(s.topology, s.points, pipeline.BUILDING, heights.ROOF)
+    for found in (s.terrain, roofs):
+        stored.update_arcs(spark, path, found, PER_BUCKET)
+    return heights.arc_vertices(stored.read_arcs(spark, path, None, whole=True))
+
+
 def clip_features(spark, d):
     clipped = spatial.in_box(store(spark, d).features, derived.CLIP_BOX)
     return clipped.select("source", "gid", "type")
@@ -444,7 +500,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     arc_delta_decode, nearest_patch, nearest_point_z, building_arcs_z, arc_z_from_patches,
     arc_ground_points, arcs_collect, arcs_update, raised_arcs, raised_ring_arcs, rings,
     polygons3d, polygon_vertices, topology_features, outer_rings_geojson, features_geojson,
-    topology_rows, roof_height_rebuilt, dissolve_boundary, dissolve, dissolve_polygons, vertex_effective_area,
+    topology_rows, topology_loaded, topology_problems, topology_rows_raised, solids_loaded,
+    arcs_update_twice, roof_height_rebuilt, dissolve_boundary, dissolve, dissolve_polygons, vertex_effective_area,
     simplify_arcs, shared_walls, wall_segments, inset_rings, closest_on_boundary, wall_quads,
     polygon_mesh,
 ]

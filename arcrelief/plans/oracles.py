@@ -555,6 +555,30 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'transform', 1, '{"scale":[' || kx || ',' || ky || '],"translate":[' || dx || ','
               || dy || ']}' FROM tf"""),
+        "topology_loaded": _sql(
+            QTOPO + RING_LINES, f"""SELECT {_i('entity_id')}, source, gid, type, {_i('ring', 'pos')},
+              round(x * kx + dx, 6) AS x, round(y * ky + dy, 6) AS y FROM rv JOIN ent USING (entity_id), tf"""),
+        "topology_problems": _sql(
+            raised, """SELECT kind, reason, count(*) AS n, sum(id)::BIGINT AS ids FROM (
+              SELECT DISTINCT 'entity' AS kind, entity_id::BIGINT AS id, 'no arc ' || arc_id AS reason
+              FROM ru WHERE arc_id % 50 = 7 OR arc_id % 70 = 9
+              UNION ALL SELECT 'arc', id, 'not an array of two points or more'
+              FROM range((SELECT count(*) FROM arc) + (SELECT count(*) FROM rn)) r(id)
+              WHERE id % 70 = 9 AND id % 50 <> 7) GROUP BY kind, reason"""),
+        "topology_rows_raised": _sql(
+            solid, f"""SELECT {_i('av.arc_id', 'av.pos', 'av.x', 'av.y')}, round(tz.z, 6) AS z
+            FROM av LEFT JOIN tz ON tz.arc_id = av.arc_id AND tz.pos = av.pos
+            UNION ALL SELECT new_id, av.pos, x, y, round(coalesce(rz.z, 0), 6)
+            FROM rn JOIN av ON av.arc_id = rn.arc_id LEFT JOIN rz ON rz.entity_id = rn.entity_id"""),
+        "solids_loaded": _sql(
+            solid, f"""SELECT {_i('entity_id')}, source, {_i('gid', 'ring', 'pos', 'x', 'y')},
+              round(z, 6) AS z FROM sv"""),
+        "arcs_update_twice": _sql(
+            near + HEIGHTS, f"""SELECT {_i('av.arc_id', 'av.pos', 'av.x', 'av.y')},
+              CASE WHEN av.arc_id IN (SELECT arc_id FROM ra WHERE type = 'pand')
+                THEN coalesce(nz.b.z::DOUBLE, 0) ELSE tz.z END AS z
+            FROM av LEFT JOIN tz ON tz.arc_id = av.arc_id AND tz.pos = av.pos
+            LEFT JOIN nz ON nz.x = av.x AND nz.y = av.y AND nz.cls = 6"""),
         "dissolve_boundary": _sql(
             TOPO + BOUNDARY, """SELECT type, count(*) AS n_arcs, sum(n_edges)::BIGINT AS n_vertices,
               round(sum(l), 6) AS length,

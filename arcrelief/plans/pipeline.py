@@ -1,4 +1,4 @@
-"""The three pipeline steps, each usable alone on stored tables."""
+"""The three pipeline steps, and storing their result."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators import assemble, heights
+from ..operators.arcs import other_rows
 from ..operators.spatial import in_box
 from ..operators.topology import Topology, build_topology, real_arcs
+from ..sources import store
 
 TERRAIN = "type != 'pand'"
 BUILDING = "type = 'pand'"
@@ -47,3 +49,17 @@ def height_step(step: Raised, points: DataFrame) -> DataFrame:
 def polygons_step(step: Raised, arcs: DataFrame) -> DataFrame:
     """3D polygons from the arcs."""
     return assemble.polygons(step.ring_arcs, arcs)
+
+
+STORED = ("source", "gid", "part", "type")  # the properties that a stored topology needs to be loaded
+
+
+def store_step(step: Raised, arcs: DataFrame, path: str, per_bucket: int = store.PER_BUCKET) -> None:
+    """Stores the topology with 3D arcs (as ``height_step`` returns them) and the raised buildings.
+
+    Neighbours are those of the topology as it was built, where buildings share arcs.
+    """
+    kept = other_rows(step.topology, step.topology.ring_arcs, STORED).where("kind != 'entity'")
+    entities = other_rows(step.topology, step.ring_arcs, STORED).where("kind = 'entity'")
+    rows = store.arc_rows(arcs, step.topology.transform).unionByName(entities).unionByName(kept)
+    store.write_topology(rows, path, per_bucket)

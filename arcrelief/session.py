@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,12 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
     )
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the checkpoint folder, which all executors share."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
