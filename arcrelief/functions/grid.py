@@ -70,32 +70,38 @@ def extent_pairs(
     """All pairs of rows with overlapping closed extents, each exactly once.
 
     Both sides have ``xmin, ymin, xmax, ymax``; those of the right side come back as
-    ``r_xmin`` and so on, other column names must differ.  A pair meets on the coarser of
-    its two levels: each side is also registered on the coarser levels of the other one.
-    Of the cells a pair shares only that of the lower left corner of the overlap counts.
-    Levels that the caller knows already need not be fetched again.
+    ``r_xmin`` and so on, other column names must differ.  A pair meets on the coarser of its
+    two levels, in one of two joins: the left side on its own level with what is as fine or
+    finer on the right, or the right side on its own level with what is finer on the left.  So two
+    small extents never meet on a coarse level.  Of the cells a pair shares only that of the
+    lower left corner of the overlap counts.  Levels that the caller knows already need
+    not be fetched again.
     """
     right = right.selectExpr(*[f"{c} AS r_{c}" if c in g.SIDES else c for c in right.columns])
     lbox, rbox = g.box(), g.box("r_")
     llevels = levels_of(left, extent_level(lbox)) if left_levels is None else left_levels
     rlevels = levels_of(right, extent_level(rbox)) if right_levels is None else right_levels
-
-    def registered(df: DataFrame, b: dict[str, str], others: list[int], own: str) -> DataFrame:
-        # the own level first, coarser levels of the other side after it
-        leveled = df.selectExpr("*", f"{extent_level(b)} AS _own").selectExpr(
-            "*",
-            f"explode_outer(concat(array(_own), filter({array_of(others)}, v -> v > _own))) AS level",
-        )
-        sided = leveled.selectExpr("*", f"level = _own AS {own}", f"{side()} AS _side")
-        return on_cells(sided.drop("_own"), "_side", b)
-
-    a = registered(left, lbox, rlevels, "l_own")
-    b = registered(right, rbox, llevels, "r_own").drop("_side")
-    corner = [
-        f"{c} = {index(f'greatest({lbox[k]}, {rbox[k]})', '_side')}"
-        for c, k in (("cx", "xmin"), ("cy", "ymin"))
-    ]
-    joined = a.join(b, ["level", "cx", "cy"]).filter(
-        f"(l_own OR r_own) AND {g.boxes_overlap(lbox, rbox)} AND {' AND '.join(corner)}"
-    )
-    return joined.drop("level", "cx", "cy", "l_own", "r_own", "_side")
+    columns = [*left.columns, *right.columns]
+
+    def placed(df: DataFrame, b: dict[str, str], levels: str) -> DataFrame:
+        leveled = df.selectExpr("*", f"{extent_level(b)} AS _own").selectExpr("*", f"explode({levels}) AS level")
+        return on_cells(leveled.drop("_own").selectExpr("*", f"{side()} AS _side"), "_side", b)
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        corner = [
+            f"{c} = {index(f'greatest({lbox[k]}, {rbox[k]})', '_side')}"
+            for c, k in (("cx", "xmin"), ("cy", "ymin"))
+        ]
+        joined = a.join(b.drop("_side"), ["level", "cx", "cy"])
+        return joined.filter(f"{g.boxes_overlap(lbox, rbox)} AND {' AND '.join(corner)}").select(*columns)
+
+    own = "array(_own)"
+    coarser = met(
+        placed(left, lbox, own),
+        placed(right, rbox, f"concat(array(_own), filter({array_of(llevels)}, v -> v > _own))"))
+    if not any(low < high for low in llevels for high in rlevels):
+        return coarser
+    finer = met(
+        placed(left, lbox, f"filter({array_of(rlevels)}, v -> v > _own)"),
+        placed(right, rbox, own))
+    return coarser.unionByName(finer)

@@ -196,6 +196,19 @@ def polygon_patch_join(spark, d):
     return spatial.polygons_meeting_boxes(store(spark, d).features, s.patches, "patch_id")
 
 
+def mixed_extent_pairs(spark, d):
+    """Polygons and patches, with one polygon and one patch around everything."""
+    s = store(spark, d)
+    around = spark.range(1).selectExpr(
+        "'around' AS source", "id AS gid", "0 AS part", "'around' AS type",
+        "array(array(named_struct('x', -5000L, 'y', -5000L), named_struct('x', 90000L, 'y', -5000L),"
+        " named_struct('x', 90000L, 'y', 90000000L), named_struct('x', -5000L, 'y', 90000000L))) AS rings")
+    wide = spark.range(1).selectExpr(
+        "-1L AS patch_id", "-4000L AS xmin", "-4000L AS ymin", "80000L AS xmax", "80000000L AS ymax")
+    return spatial.polygons_meeting_boxes(
+        s.features.unionByName(around), s.patches.select(*wide.columns).unionByName(wide), "patch_id")
+
+
 def arc_patch_join(spark, d):
     s = store(spark, d)
     return spatial.arcs_meeting_boxes(s.topology.arcs, s.patches, "patch_id")
@@ -494,7 +507,7 @@ def polygon_mesh(spark, d):
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     terrain_arcs_z, roof_height, roof_points, points_in_polygon, points_by_class, patch_stats,
-    clip_features, ground_points_in_box, polygon_patch_join, arc_patch_join,
+    clip_features, ground_points_in_box, polygon_patch_join, mixed_extent_pairs, arc_patch_join,
     polygon_polygon_join, quantize_transform, junctions, topology_arcs, ring_arcs,
     terrain_arc_ids, neighbours, border_arcs_by_type, arc_bbox, arc_lines, arc_delta_encode,
     arc_delta_decode, nearest_patch, nearest_point_z, building_arcs_z, arc_z_from_patches,

@@ -386,6 +386,17 @@ def oracle_sql() -> dict[str, str]:
     raised = BASE + POINTS + PLAIN + EDGES + TOPOLOGY + INSIDE + ROOF_Z + RAISED
     solid = (BASE + POINTS + PLAIN + EDGES + TOPOLOGY + INSIDE + ROOF_Z + RAISED + NEAREST
              + HEIGHTS + RING_LINES + SOLID)
+    polygon_patch = f"""
+            SELECT DISTINCT source, gid, patch_id FROM (
+              SELECT e.source, e.gid, patch_id FROM nb e JOIN pa
+                ON least(e.x, e.nx) <= xmax AND greatest(e.x, e.nx) >= xmin
+               AND least(e.y, e.ny) <= ymax AND greatest(e.y, e.ny) >= ymin
+              WHERE {edge_in_box('e', 'xmin', 'ymin', 'xmax', 'ymax')}
+              UNION ALL
+              SELECT any_value(source), any_value(gid), patch_id FROM nb JOIN pa
+                ON (nb.y <= ymin) <> (nb.ny <= ymin)
+              WHERE ({_cross('nb', 'nb', 'xmin', 'ymin')} > 0) = (nb.ny > nb.y)
+              GROUP BY entity_id, patch_id HAVING count(*) % 2 = 1)"""
     return {
         "points_by_class": _sql(
             POINTS, f"SELECT {_i('patch_id', 'x', 'y', 'z', 'classification')}"
@@ -419,18 +430,11 @@ def oracle_sql() -> dict[str, str]:
               round(coalesce(z, 0), 6) AS z, coalesce(n, 0)::BIGINT AS n_points,
               n IS NOT NULL AS has_roof
             FROM ent LEFT JOIN rz ON rz.entity_id = ent.entity_id WHERE source = 'pand'"""),
-        "polygon_patch_join": _sql(
-            BASE + POINTS + PLAIN + EDGES, f"""
-            SELECT DISTINCT source, gid, patch_id FROM (
-              SELECT e.source, e.gid, patch_id FROM nb e JOIN pa
-                ON least(e.x, e.nx) <= xmax AND greatest(e.x, e.nx) >= xmin
-               AND least(e.y, e.ny) <= ymax AND greatest(e.y, e.ny) >= ymin
-              WHERE {edge_in_box('e', 'xmin', 'ymin', 'xmax', 'ymax')}
-              UNION ALL
-              SELECT any_value(source), any_value(gid), patch_id FROM nb JOIN pa
-                ON (nb.y <= ymin) <> (nb.ny <= ymin)
-              WHERE ({_cross('nb', 'nb', 'xmin', 'ymin')} > 0) = (nb.ny > nb.y)
-              GROUP BY entity_id, patch_id HAVING count(*) % 2 = 1)"""),
+        "polygon_patch_join": _sql(BASE + POINTS + PLAIN + EDGES, polygon_patch),
+        "mixed_extent_pairs": _sql(
+            BASE + POINTS + PLAIN + EDGES, f"""{polygon_patch}
+            UNION ALL SELECT 'around', 0, patch_id FROM pa UNION ALL SELECT 'around', 0, -1
+            UNION ALL SELECT source, gid, -1 FROM ent"""),
         "arc_patch_join": _sql(
             BASE + POINTS + PLAIN + EDGES + TOPOLOGY + ARC_PATCH,
             f"SELECT {_i('arc_id', 'patch_id')} FROM ap"),
