@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import grid
 from ..functions.ids import with_dense_id
 from ..session import materialise
+from .knn import NEAREST, nearest_k
 from .nearest import BEST, TO_POINT, nearest, nearest_in_group
 from .spatial import arcs_meeting_boxes, patches_of, points_in_polygons
 from .topology import Topology, arc_ids_of, real_arcs, real_entities
@@ -64,6 +65,19 @@ def nearest_point_z(placed: DataFrame, points: DataFrame, patches: DataFrame) ->
     return best.selectExpr(*placed.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
 
 
+def highest_of_nearest(placed: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """Greatest z among the ``k`` nearest given points of the same patch, for rows (x, y, patch_id, ...).
+
+    Adds n (points found, up to k), d2 (of the farthest of them) and z.  Rows must be distinct;
+    equal distances take the lowest z first.
+    """
+    targets = points.selectExpr("patch_id", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax", "z")
+    found = nearest_k(placed, targets, k, ("z",), ("patch_id",), TO_POINT)
+    return found.selectExpr(
+        *placed.columns, f"size({NEAREST}) AS n", f"get({NEAREST}, size({NEAREST}) - 1).d2 AS d2",
+        f"array_max(transform({NEAREST}, t -> t.z)) AS z")
+
+
 def arc_heights(
     topology: Topology,
     points: DataFrame,

@@ -329,6 +329,14 @@ def nearest_point_z(spark, d):
     return found.withColumn("z", F.col("z").cast("double"))
 
 
+def nearest_points_k(spark, d):
+    """The highest of the five nearest ground points in the nearest patch."""
+    s = store(spark, d)
+    ground = heights.points_by_class(s.points, heights.GROUND)
+    found = heights.highest_of_nearest(materialise(nearest_patch(spark, d).drop("d2")), ground, 5)
+    return found.withColumn("z", F.col("z").cast("double"))
+
+
 def terrain_arcs_z(spark, d):
     s = store(spark, d)
     return heights.arc_heights(s.topology, s.points, pipeline.TERRAIN, heights.GROUND)
@@ -510,7 +518,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     clip_features, ground_points_in_box, polygon_patch_join, mixed_extent_pairs, arc_patch_join,
     polygon_polygon_join, quantize_transform, junctions, topology_arcs, ring_arcs,
     terrain_arc_ids, neighbours, border_arcs_by_type, arc_bbox, arc_lines, arc_delta_encode,
-    arc_delta_decode, nearest_patch, nearest_point_z, building_arcs_z, arc_z_from_patches,
+    arc_delta_decode, nearest_patch, nearest_point_z, nearest_points_k, building_arcs_z, arc_z_from_patches,
     arc_ground_points, arcs_collect, arcs_update, raised_arcs, raised_ring_arcs, rings,
     polygons3d, polygon_vertices, topology_features, outer_rings_geojson, features_geojson,
     topology_rows, topology_loaded, topology_problems, topology_rows_raised, solids_loaded,

@@ -489,6 +489,13 @@ def oracle_sql() -> dict[str, str]:
         "nearest_point_z": _sql(
             near, f"""SELECT {_i('np.x', 'np.y', 'np.patch_id')}, nz.b.d AS d2, nz.b.z::DOUBLE AS z
             FROM np LEFT JOIN nz ON nz.x = np.x AND nz.y = np.y AND nz.cls = 2"""),
+        "nearest_points_k": _sql(
+            near, f"""SELECT {_i('np.x', 'np.y', 'np.patch_id')}, count(z)::BIGINT AS n, max(d) AS d2,
+              max(z)::DOUBLE AS z FROM np LEFT JOIN (
+              SELECT np.x, np.y, p.z, ((np.x - p.x) * (np.x - p.x) + (np.y - p.y) * (np.y - p.y))::DOUBLE AS d
+              FROM np JOIN p ON p.patch_id = np.patch_id AND p.classification = 2
+              QUALIFY row_number() OVER (PARTITION BY np.x, np.y ORDER BY d, z) <= 5) q
+            ON q.x = np.x AND q.y = np.y GROUP BY np.x, np.y, np.patch_id"""),
         "terrain_arcs_z": _sql(near + HEIGHTS, f"SELECT {_i('arc_id', 'pos', 'x', 'y')}, z FROM tz"),
         "building_arcs_z": _sql(
             near, f"""SELECT {_i('arc_id', 'pos', 'av.x', 'av.y')}, coalesce(nz.b.z::DOUBLE, 0) AS z
