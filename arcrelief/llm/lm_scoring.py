@@ -1,31 +1,37 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background one.
 
-Two bigram models with the same form share one vocabulary: the words that make up at least
-``least_share`` of all words of the corpus, everything else being one unknown word.  The
-background counts come from all documents, the target's from those of the target.  A
-document's score is its mean loss per token under the target model less that under the
-background model, so low scores are close to the target.
-
-Both shares bound the models, whatever the corpus' size: at most 1 / least_share words and 1 /
-pair_share pairs of each model can reach them, and all counts below are made in full, over
-every document, before the rare ones are left to the back-off.
+Two bigram models of the same form share one vocabulary, all words of the corpus and the end of a
+text.  The background model counts every document, the target model those of the target.  A pair's
+probability is its count, with ``prior`` more counts that are spread as single words are:
+
+    P(w | v) = (c(v w) + prior * P(w)) / (c(v) + prior),   P(w) = (c(w) + 1) / (all words + vocabulary)
+
+A document's score is its mean loss per token under the target model less that under the background
+model, so low scores are close to the target.
+
+No model is ever in one place.  Texts become chunks of about ``chunk_words`` words; a chunk asks for
+the counts of its different words and pairs, by keys that are dealt out over parts by their
+leading bits, so a word that is in every document costs one question for each chunk.  Parts add up
+what chunks have and answer; each chunk scores its documents with the answers.  Keys are hashes
+that have at least 2 ** 15 times as many values as the corpus has words, so about one in thirty
+thousand counts holds another word or pair besides its own; nothing is left out.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import map_batches, staged
+from .store import give_back, map_batches, staged
 
-END = 0  # of a text, and what stands before its first word
-UNKNOWN = 1
+END = b""  # of a text, and what stands before its first word; no word is empty
 
 
 def words_of(text: str) -> list[bytes]:
@@ -33,201 +39,228 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def _word_counts(rows: DataFrame, most: int = 200_000) -> DataFrame:
-    """word and count over all texts; tasks add up in memory and pass on full tables."""
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes, the low bytes of all of them first."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(len(values), 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        names = ["word", "n"]
 
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names)
+def unpacked(data: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    planes = np.frombuffer(data, np.uint8).reshape(8, len(data) // 8)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _deltas(values: np.ndarray) -> np.ndarray:
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
+class _Ids(dict):
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        return number
+
+
+def _mixed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A hash of pairs of 64-bit numbers."""
+    x = one * np.uint64(0x9E3779B97F4A7C15) ^ (two + np.uint64(0x632BE59BD9B4E019))
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
-                if len(counts) > most:
-                    yield out()
-                    counts.clear()
-        yield out()
-
-    return (
-        map_batches(rows.select("text"), run, "word BINARY, n LONG")
-        .groupBy("word").agg(F.sum("n").alias("n"))
-    )
-
-
-def pair_codes(texts: list[str], number: dict[bytes, int], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the pairs (word before, word) of each text, END around it, and the texts' ends."""
-    get = number.get
-    ids, ends = [], []
-    for text in texts:
-        words = words_of(text)
-        ids.append(END)
-        if words:
-            ids.extend([get(w, UNKNOWN) for w in words])
-            ids.append(END)
-        ends.append(len(ids))
-    ids = np.array(ids, np.int64)
-    codes = ids[:-1] * size + ids[1:]
-    inside = np.ones(len(codes), bool)  # not from one text's end to the next one's start
-    inside[np.array(ends[:-1], np.int64) - 1] = False
-    tokens = np.diff([0, *ends]) - 1
-    return codes[inside], np.cumsum(tokens)
-
-
-def _slices(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= most:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _pair_counts(rows: DataFrame, number: dict[bytes, int], size: int) -> DataFrame:
-    """code, background and target counts of all pairs; ``rows``: text and target."""
-    shared = rows.sparkSession.sparkContext.broadcast(number)
+
+def word_keys(words: list[bytes], width: int) -> np.ndarray:
+    """Hashes of words, ``width`` bits each."""
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64) >> np.uint64(64 - width)
+
+
+def questions(keys: np.ndarray, at: np.ndarray, lengths: np.ndarray, width: int):
+    """Keys of each token's word, of the word before and of the pair; a pair's lowest bit is 1.
+
+    ``at`` are the places in ``keys`` of all texts' words one after the other, each text between two
+    ends; ``lengths`` counts the places of each text, none for one without words.
+    """
+    spelled = keys[at]
+    token = np.ones(len(at), bool)
+    token[(np.cumsum(lengths) - lengths)[lengths > 0]] = False  # the end before a text's first word
+    before = np.flatnonzero(token) - 1
+    word = spelled[before + 1] << np.uint64(1)
+    pair = _mixed(spelled[before], spelled[before + 1]) >> np.uint64(64 - width)
+    return word, spelled[before] << np.uint64(1), pair << np.uint64(1) | np.uint64(1)
+
+
+_CHUNK = pa.schema([
+    ("chunk", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("n", pa.binary()),
+    ("n_target", pa.binary()), ("size", pa.int64()), ("tokens", pa.int64()), ("target_tokens", pa.int64()),
+    ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary()), ("at", pa.binary()),
+])
+_CHUNK_DDL = (
+    "chunk LONG, part LONG, keys BINARY, n BINARY, n_target BINARY, size LONG, tokens LONG, target_tokens LONG,"
+    " doc_ids ARRAY<LONG>, lengths ARRAY<LONG>, words BINARY, at BINARY")
+
+
+def _chunks(rows: DataFrame, width: int, part_bits: int, chunk_words: int) -> DataFrame:
+    """Chunks of ``rows`` (doc_id, text, target): a row with the documents (part -1) and one for each
+    part that the chunk asks, with keys, their counts in the chunk and those in its target texts."""
+
+    def chunk_rows(number: int, ids: _Ids, at: list, doc_ids: list, lengths: list, target: list) -> list[dict]:
+        spelled = word_keys(list(ids), width)
+        keys, rank = np.unique(spelled, return_inverse=True)
+        at = rank[np.array(at, np.int64)]
+        lengths = np.array(lengths, np.int64)
+        word, _, pair = questions(keys, at, lengths, width)
+        tokens = np.maximum(lengths - 1, 0)
+        weight = np.repeat(np.array(target, np.float64), tokens)
+        asked, where = np.unique(np.concatenate([word, pair]), return_inverse=True)
+        n = np.bincount(where, minlength=len(asked)).astype(np.uint64)
+        n_target = np.bincount(where, np.concatenate([weight, weight]), len(asked)).astype(np.uint64)
+        parts = (asked >> np.uint64(width + 1 - part_bits)).astype(np.int64) if part_bits else np.zeros(len(asked), np.int64)
+        blank = dict.fromkeys(_CHUNK.names)
+        out = [{**blank, "chunk": number, "part": -1, "size": len(asked), "tokens": int(tokens.sum()),
+                "target_tokens": int(weight.sum()), "doc_ids": doc_ids, "lengths": lengths.tolist(),
+                "words": packed(_deltas(keys)), "at": packed(at)}]
+        starts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else []
+        for start, stop in zip(starts, [*starts[1:], len(parts)]):
+            out.append({**blank, "chunk": number, "part": int(parts[start]), "size": int(stop - start),
+                        "keys": packed(_deltas(asked[start:stop])), "n": packed(n[start:stop]),
+                        "n_target": packed(n_target[start:stop])})
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        codes, flags, held = [], [], 0
+        task, seq = TaskContext.get().partitionId(), 0
 
-        def out():
-            found, at = np.unique(np.concatenate([*codes, np.zeros(0, np.int64)]), return_inverse=True)
-            target = np.bincount(at, np.concatenate([*flags, np.zeros(0)]), len(found))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(np.bincount(at, minlength=len(found)).astype(np.int64)),
-                 pa.array(target.astype(np.int64))], ["code", "background", "target"])
+        def new():
+            ids = _Ids()
+            ids[END]
+            return ids, [], [], [], []
 
+        ids, at, doc_ids, lengths, target = new()
         for batch in batches:
-            texts, target = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
-            for start, end in _slices(texts):
-                found, ends = pair_codes(texts[start:end], words, size)
-                codes.append(found)
-                flags.append(np.repeat(target[start:end].astype(float), np.diff([0, *ends])))
-                held += len(found)
-                if held > 4_000_000:
-                    yield out()
-                    codes, flags, held = [], [], 0
-        yield out()
-
-    return (
-        map_batches(rows.select("text", "target"), run, "code LONG, background LONG, target LONG")
-        .groupBy("code").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    )
-
-
-@dataclass(frozen=True)
-class Model:
-    """Losses in nats: of single words, and of the pairs that were seen often enough.
-
-    A pair's probability takes ``discount`` off its count and gives what is taken off, and the
-    counts of pairs left out, to the single words' probabilities.
+            for doc_id, text, flag in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text)
+                doc_ids.append(doc_id)
+                target.append(flag)
+                lengths.append(len(words) + 2 if words else 0)
+                if words:
+                    at.append(0)
+                    at.extend(map(ids.__getitem__, words))
+                    at.append(0)
+                if len(at) >= chunk_words or len(doc_ids) >= chunk_words:
+                    yield pa.RecordBatch.from_pylist(
+                        chunk_rows(task << 32 | seq, ids, at, doc_ids, lengths, target), _CHUNK)
+                    ids, at, doc_ids, lengths, target = new()
+                    seq += 1
+        if doc_ids:
+            yield pa.RecordBatch.from_pylist(
+                chunk_rows(task << 32 | seq, ids, at, doc_ids, lengths, target), _CHUNK)
+
+    return staged(map_batches(rows, run, _CHUNK_DDL), "chunks")
+
+
+_ANSWER = pa.schema([
+    ("chunk", pa.int64()), ("part", pa.int64()), ("all", pa.binary()), ("target", pa.binary()),
+    ("n_words", pa.int64()),
+])
+
+
+def _answers(chunks: DataFrame) -> DataFrame:
+    """For each question of a chunk to a part the counts of its keys in all chunks, in order.
+
+    A part's keys are in one task, at most one of each from a chunk.  ``n_words`` counts the
+    different words of a part in one of its rows.
     """
 
-    words: np.ndarray  # log of the words' probabilities
-    back: np.ndarray  # log of what each word leaves to the single words
-    codes: np.ndarray
-    pairs: np.ndarray  # log of the pairs' probabilities, by code
-
-    def losses(self, codes: np.ndarray) -> np.ndarray:
-        size = len(self.words)
-        losses = -(self.back[codes // size] + self.words[codes % size])
-        if len(self.codes):
-            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            known = self.codes[at] == codes
-            losses[known] = -self.pairs[at[known]]
-        return losses
-
-
-def model_of(size: int, after: np.ndarray, before: np.ndarray, codes: np.ndarray,
-             counts: np.ndarray, discount: float = 0.5) -> Model:
-    """``after``: counts of words as a pair's second, ``before``: as its first; the kept pairs."""
-    words = np.log((after + 1.0) / (after.sum() + size))
-    first = codes // size
-    kept = np.bincount(first, counts, size)
-    number = np.bincount(first, minlength=size)
-    total = np.maximum(before, 1.0)
-    left = np.where(before > 0, (before - kept + discount * number) / total, 1.0)
-    # before a word all of whose pairs are kept, and none discounted, something must be left
-    left = np.clip(left, 1e-9, 1.0)
-    pairs = (counts - discount) / total[first] + left[first] * np.exp(words[codes % size])
-    order = np.argsort(codes)
-    return Model(words, np.log(left), codes[order], np.log(pairs)[order])
-
-
-def fit(docs: DataFrame, target: DataFrame, least_share: float = 2e-5,
-        pair_share: float = 2e-6) -> tuple[dict[bytes, int], Model, Model]:
-    """Vocabulary, target and background model; ``target`` has the target's doc_ids.
-
-    Counts cover all of ``docs``; documents of a null doc_id aren't in the target.
-    """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = staged(_word_counts(rows), "word-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    common = counts.where(F.col("n") >= max(2.0, least_share * total)).select("word").toArrow()
-    number = {w: i + 2 for i, w in enumerate(sorted(common["word"].to_pylist()))}
-    size = len(number) + 2
-    flagged = rows.join(
-        target.select("doc_id").distinct().withColumn("target", F.lit(True)), "doc_id", "left"
-    ).withColumn("target", F.coalesce("target", F.lit(False)))
-    pairs = staged(_pair_counts(flagged, number, size), "pair-counts")
-    kinds = ("background", "target")
-    sums = lambda key, name: pairs.groupBy(key.alias("w")).agg(
-        *(F.sum(k).alias(k) for k in kinds)).withColumn("place", F.lit(name))
-    word = F.col("code") % size
-    margins = sums(word, "after").union(sums((F.col("code") - word) / size, "before")).toArrow()
-    n_pairs = dict(zip(kinds, pairs.agg(*(F.sum(k) for k in kinds)).first()))
-    models = []
-    for kind in kinds:
-        after, before = np.zeros(size), np.zeros(size)
-        places = np.array(margins["place"].to_pylist())
-        for place, into in (("after", after), ("before", before)):
-            mine = places == place
-            into[margins["w"].to_numpy()[mine].astype(np.int64)] = margins[kind].to_numpy()[mine]
-        least = max(2.0, pair_share * (n_pairs[kind] or 0))
-        kept = pairs.where(F.col(kind) >= least).select("code", kind).toArrow()
-        models.append(model_of(size, after, before, kept["code"].to_numpy(),
-                               kept[kind].to_numpy().astype(float)))
-    return number, models[1], models[0]
-
-
-def score(docs: DataFrame, target: DataFrame, least_share: float = 2e-5,
-          pair_share: float = 2e-6) -> DataFrame:
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpacked(x.as_py())) for x in table["keys"]]
+        sizes = [len(x) for x in keys]
+        known, where = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = []
+        for name in ("n", "n_target"):
+            n = np.concatenate([unpacked(x.as_py()) for x in table[name]])
+            sums.append(np.bincount(where, n.astype(np.float64), len(known)).astype(np.uint64)[where])
+        out, start = [], 0
+        for i, (chunk, size) in enumerate(zip(table["chunk"].to_pylist(), sizes)):
+            mine = slice(start, start + size)
+            out.append({"chunk": chunk, "part": table["part"][0].as_py(), "all": packed(sums[0][mine]),
+                        "target": packed(sums[1][mine]),
+                        "n_words": int(np.sum(known & np.uint64(1) == 0)) if i == 0 else 0})
+            start += size
+        give_back()
+        return pa.Table.from_pylist(out, _ANSWER)
+
+    asked = chunks.where("part >= 0").select("chunk", "part", "keys", "n", "n_target")
+    return staged(asked.groupBy("part").applyInArrow(
+        answer, "chunk LONG, part LONG, all BINARY, target BINARY, n_words LONG"), "answers")
+
+
+_SCORES = pa.schema([
+    ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()),
+    ("background_loss", pa.float64()), ("score", pa.float64()),
+])
+
+
+def losses(pair: np.ndarray, before: np.ndarray, word: np.ndarray, total: int, vocabulary: int,
+           prior: float) -> np.ndarray:
+    """Losses in nats of tokens, from the counts of the pair, the word before and the word."""
+    single = (word + 1.0) / (total + vocabulary)
+    return -np.log((pair + prior * single) / (before + prior))
+
+
+def score(docs: DataFrame, target: DataFrame, prior: float = 20.0, chunk_words: int = 1_000_000,
+          part_bytes: int = 1 << 24, most_broadcast: int = 2_000_000) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_tokens, target_loss, background_loss
     (means per token, in nats) and score, their difference.
 
-    A text's tokens are its words and its end.  A null or empty text has no token and null
-    losses and score.  Repeated rows count and are scored each; an empty target gives a
-    uniform target model; an empty table gives no rows; other columns are ignored.
+    ``target`` has the target's doc_ids; up to ``most_broadcast`` of them are broadcast, more are
+    joined.  A text's tokens are its words and its end.  A null or empty text has no token and null
+    losses and score.  Repeated rows count and are scored each, rows of a null doc_id aren't in
+    the target; an empty target gives a uniform target model; an empty table gives no rows; other
+    columns are ignored.  A part holds the keys of about ``part_bytes`` of text.
     """
-    number, ours, theirs = fit(docs, target, least_share, pair_share)
-    shared = docs.sparkSession.sparkContext.broadcast((number, ours, theirs))  # bounded by the shares
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, *models = shared.value
-        for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for start, end in _slices(texts):
-                codes, ends = pair_codes(texts[start:end], words, len(words) + 2)
-                tokens = np.diff([0, *ends])
-                out = [doc_ids.slice(start, end - start), pa.array(tokens.astype(np.int64))]
-                means = []
-                for model in models:
-                    sums = np.concatenate([[0.0], np.cumsum(model.losses(codes))])
-                    bounds = np.concatenate([[0], ends]).astype(np.int64)
-                    means.append((sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(tokens, 1))
-                none = tokens == 0
-                for column in (*means, means[0] - means[1]):
-                    out.append(pa.array(column, mask=none))
-                yield pa.RecordBatch.from_arrays(
-                    out, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return map_batches(rows, run, "doc_id LONG, n_tokens LONG, target_loss DOUBLE,"
-                                  " background_loss DOUBLE, score DOUBLE")
+    ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where(
+        "doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
+    if ids.count() <= most_broadcast:
+        ids = F.broadcast(ids)
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    width = min(62, 15 + max(1, size // 2).bit_length())
+    part_bits = (size // part_bytes).bit_length()
+    flagged = rows.join(ids, "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    chunks = _chunks(flagged, width, part_bits, chunk_words)
+    answers = _answers(chunks)
+    documents = chunks.where("part = -1").select("chunk", "doc_ids", "lengths", "words", "at")
+    totals = chunks.where("part = -1").agg(F.sum("tokens"), F.sum("target_tokens")).first()
+    n_all, n_target = (x or 0 for x in totals)
+    vocabulary = answers.agg(F.sum("n_words")).first()[0] or 0
+
+    def score_chunk(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        keys = np.cumsum(unpacked(chunk["words"][0].as_py()))
+        at = unpacked(chunk["at"][0].as_py()).astype(np.int64)
+        lengths = np.array(chunk["lengths"][0].as_py(), np.int64)
+        word, before, pair = questions(keys, at, lengths, width)
+        asked = np.unique(np.concatenate([word, pair]))
+        order = np.argsort(found["part"].to_numpy())
+        places = [np.searchsorted(asked, x) for x in (pair, before, word)]
+        tokens = np.maximum(lengths - 1, 0)
+        starts = (np.cumsum(tokens) - tokens)[tokens > 0]
+        means = []
+        for name, total in (("target", n_target), ("all", n_all)):
+            answered = [unpacked(found[name][int(i)].as_py()) for i in order]
+            counts = np.concatenate([*answered, np.zeros(0, np.uint64)]).astype(np.float64)
+            if len(counts) != len(asked):
+                raise ValueError("answers don't fit the questions")
+            each = losses(*(counts[p] for p in places), total, vocabulary, prior)
+            mean = np.zeros(len(tokens))
+            if len(each):
+                mean[tokens > 0] = np.add.reduceat(each, starts) / tokens[tokens > 0]
+            means.append(mean)
+        give_back()
+        none = tokens == 0
+        return pa.Table.from_arrays(
+            [pa.array(chunk["doc_ids"][0].as_py(), pa.int64()), pa.array(tokens),
+             *(pa.array(x, mask=none) for x in (*means, means[0] - means[1]))], schema=_SCORES)
+
+    return documents.groupBy("chunk").cogroup(answers.drop("n_words").groupBy("chunk")).applyInArrow(
+        score_chunk, "doc_id LONG, n_tokens LONG, target_loss DOUBLE, background_loss DOUBLE, score DOUBLE")

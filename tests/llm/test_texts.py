@@ -1,8 +1,10 @@
 """Operators on documents against brute-force versions and on awkward rows."""
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,6 +141,59 @@ def test_lm_scoring_prefers_the_target(spark):
     assert lm_scoring.score(table, nothing).count() == table.count()
 
 
+def lm_scores(texts, target, prior):
+    """Scores by plain dictionaries of words and pairs; texts: doc_id -> text."""
+    counts = []
+    for chosen in (target, set(texts)):
+        pairs, single = Counter(), Counter()
+        for d in chosen:
+            w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[d])) if x]
+            if w:
+                pairs.update(zip(["", *w], [*w, ""]))
+                single.update([*w, ""])
+        counts.append((pairs, single))
+    size = len(counts[1][1])
+    out = {}
+    for d, text in texts.items():
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)) if x]
+        means = []
+        for pairs, single in counts:
+            total = sum(single.values())
+            loss = [-math.log((pairs[a, b] + prior * (single[b] + 1) / (total + size)) / (single[a] + prior))
+                    for a, b in zip(["", *w], [*w, ""])]
+            means.append(sum(loss) / len(loss))
+        out[d] = (len(w) + 1, *means, means[0] - means[1]) if w else (0, None, None, None)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(1_000_000, 1 << 24), (3000, 1 << 14)])
+def test_lm_scoring_against_dictionaries(spark, sf_dir, documents, sizes):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3)
+    target = {d for d in documents if d % 3 == 0}
+    want = lm_scores(documents, target, 20.0)
+    for most in (0, 1000):
+        found = lm_scoring.score(table, table.where("doc_id % 3 = 0"), chunk_words=sizes[0],
+                                 part_bytes=sizes[1], most_broadcast=most).collect()
+        assert len(found) == len(documents)
+        off = 0
+        for r in found:
+            n, *rest = want[r.doc_id]
+            assert r.n_tokens == n
+            off += any(abs(a - b) > 1e-6 for a, b in zip((r.target_loss, r.background_loss, r.score), rest) if b is not None)
+        assert off <= 2  # keys that hold two words or pairs
+
+
+def test_lm_scoring_awkward(spark):
+    rows = [*AWKWARD, (7, "\n"), (8, "x" * 100_000)]
+    table = docs(spark, rows)
+    good = spark.createDataFrame([(4,), (4,), (None,), (99,)], "doc_id LONG")
+    found = sorted(((r.doc_id or -1, r.n_tokens, r.score is None) for r in lm_scoring.score(table, good).collect()))
+    assert found == sorted((d or -1, len(words(t or "")) + 1 if words(t or "") else 0, not words(t or ""))
+                           for d, t in rows)
+    twice = [r.score for r in lm_scoring.score(table, good).where("doc_id = 4").collect()]
+    assert len(twice) == 2 and abs(twice[0] - twice[1]) < 1e-9
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
