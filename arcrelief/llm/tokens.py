@@ -39,19 +39,44 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
 
 
+def _merger(library):
+    """Ids of one piece of text: merges by rank where the vocabulary numbers pieces in the order of
+    its merges, as tiktoken has them; else by the library's own model."""
+    import json
+
+    model = json.loads(library.to_str())["model"]
+    vocabulary = model["vocab"]
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    own = {chr(c): b for b, c in _BYTES.items()}
+    spelled = {bytes(own.get(c, ord(c) & 255) for c in piece): i for piece, i in vocabulary.items()
+               if all(c in own or ord(c) in _PRINTABLE for c in piece)}
+    whole = all(bytes([b]) in spelled for b in range(256)) and not model.get("ignore_merges")
+    specials = library.get_added_tokens_decoder()
+    if whole and merged == sorted(merged) and len(spelled) >= len(vocabulary) - len(specials):
+        import tiktoken
+
+        ranks = {piece: i for piece, i in spelled.items() if i not in specials}
+        core = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        return core.encode_ordinary
+    return lambda piece: [
+        t.id for t in library.model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))]
+
+
+_LONGEST = 64  # characters of what is remembered, so that memories are bounded in bytes too
+
+
 class _Pieces(dict):
-    """Ids by piece of the split pattern, merged by the library's model when missing; forgets
-    all at a size."""
+    """Ids by piece of the split pattern, merged when missing; forgets all at a size."""
 
-    def __init__(self, model, code, most):
-        self.tokenize, self.code, self.most = model.tokenize, code, most
+    def __init__(self, merge, code, most):
+        self.merge, self.code, self.most = merge, code, most
 
     def __missing__(self, piece):
-        mapped = piece.encode().decode("latin-1").translate(_BYTES)
-        ids = array(self.code, [t.id for t in self.tokenize(mapped)]).tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        self[piece] = ids
+        ids = array(self.code, self.merge(piece)).tobytes()
+        if len(piece) <= _LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[piece] = ids
         return ids
 
 
@@ -64,38 +89,42 @@ class _Chunks(dict):
     def __missing__(self, part):
         last = part[-1:]
         if part.isalpha() and max(part) < "Ā":
-            mapped = f" {part}".encode().decode("latin-1").translate(_BYTES)
             pieces = self.owner.pieces
-            ids = array(pieces.code, [t.id for t in pieces.tokenize(mapped)]).tobytes()
+            ids = array(pieces.code, pieces.merge(" " + part)).tobytes()
         elif last in _MARKS and part[:-1].isalpha() and part[-2] < "Ā":
             ids = self[part[:-1]] + self.owner.pieces[last]
         elif not part or part[0].isspace() or last.isspace():
             raise _Loose
         else:
             ids = self.owner.split(" " + part)
-        if len(self) >= self.most:
-            self.clear()
-        self[part] = ids
+        if len(part) <= _LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[part] = ids
         return ids
 
 
 class Encoder:
     """``encode(text)`` gives the ids as little-endian bytes, ``width`` bytes for each.
 
-    Strings of special tokens in a text are ordinary text.  Memory is bounded by the two
-    sizes (entries of about 200 bytes).
+    Strings of special tokens in a text are those tokens, as in the library by default.
+    Memory is bounded by the two sizes (entries of about 200 bytes).
     """
 
     def __init__(self, path: str = BYTE_BPE, chunks: int = 700_000, pieces: int = 200_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized or not t.special for t in added.values()):
+            raise ValueError("added tokens that aren't plain special ones")
+        self.specials = {t.content: i for i, t in added.items()}
+        self.special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) or "(?!)")
         if "ByteLevel" not in type(self.library.pre_tokenizer).__name__:
             raise ValueError("not a byte-level vocabulary")
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.pieces = _Pieces(self.library.model, self.code, pieces)
+        self.pieces = _Pieces(_merger(self.library), self.code, pieces)
         self.chunks = _Chunks(self, chunks)
 
     def split(self, chunk: str) -> bytes:
@@ -107,6 +136,20 @@ class Encoder:
             for x in _LATIN.findall(chunk)])
 
     def encode(self, text: str) -> bytes:
+        if not self.special.search(text):
+            return self.plain(text)
+        out, start = [], 0
+        for m in self.special.finditer(text):
+            out.append(self.plain(text[start:m.start()]))
+            out.append(array(self.code, [self.specials[m[0]]]).tobytes())
+            start = m.end()
+        out.append(self.plain(text[start:]))
+        return b"".join(out)
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        if not text:
+            return b""
         first, *rest = text.split(" ")
         try:
             if rest and (not first or first[-1].isspace()):
