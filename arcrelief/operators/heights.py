@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry as g
 from ..functions import grid
 from ..functions.ids import with_dense_id
 from ..session import materialise
@@ -51,17 +52,37 @@ def nearest_patch(positions: DataFrame, patches: DataFrame, cell: float | None =
     return best.selectExpr("x", "y", f"{BEST}.patch_id AS patch_id", f"{BEST}.d2 AS d2")
 
 
+def of_patches(points: DataFrame, patches: DataFrame) -> DataFrame:
+    """Points of the given patches only; a semi join, so patches may repeat."""
+    return points.join(patches.select("patch_id").distinct(), "patch_id", "left_semi")
+
+
+def near_features(points: DataFrame, features: DataFrame, patches: DataFrame | None) -> DataFrame:
+    """Points of the patches whose extent meets that of a feature; all points without ``patches``.
+
+    ``patches`` is the stored table of extents, so the cloud itself is read once, and of a
+    stored cloud only the chosen patches' rows go on.
+    """
+    if patches is None:
+        return points
+    boxes = features.selectExpr("flatten(rings) AS _v").selectExpr(*g.bbox("_v"))
+    met = grid.extent_pairs(boxes, patches.select("patch_id", *g.SIDES))
+    return of_patches(points, met)
+
+
 def nearest_point_z(placed: DataFrame, points: DataFrame, patches: DataFrame) -> DataFrame:
     """Nearest given point of the same patch for rows (x, y, patch_id, ...): adds d2 and z.
 
-    Rows must be distinct.
+    Rows must be distinct.  Only points of patches that some row has chosen are looked at.
     Equal distances take the lowest z; both are NULL when the patch has none of the points.
     Large patches are searched cell by cell, so the size of a patch does not matter.
     """
-    targets = points.selectExpr(
+    chosen = placed.select("patch_id").distinct()
+    targets = of_patches(points, chosen).selectExpr(
         "patch_id", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax", "z"
     )
-    best = nearest_in_group(placed, targets, patches, ("patch_id",), ("z",), TO_POINT)
+    sizes = of_patches(patches, chosen)
+    best = nearest_in_group(placed, targets, sizes, ("patch_id",), ("z",), TO_POINT)
     return best.selectExpr(*placed.columns, f"{BEST}.d2 AS d2", f"{BEST}.z AS z")
 
 
@@ -71,7 +92,8 @@ def highest_of_nearest(placed: DataFrame, points: DataFrame, k: int) -> DataFram
     Adds n (points found, up to k), d2 (of the farthest of them) and z.  Rows must be distinct;
     equal distances take the lowest z first.
     """
-    targets = points.selectExpr("patch_id", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax", "z")
+    targets = of_patches(points, placed).selectExpr(
+        "patch_id", "x AS xmin", "y AS ymin", "x AS xmax", "y AS ymax", "z")
     found = nearest_k(placed, targets, k, ("z",), ("patch_id",), TO_POINT)
     return found.selectExpr(
         *placed.columns, f"size({NEAREST}) AS n", f"get({NEAREST}, size({NEAREST}) - 1).d2 AS d2",
@@ -84,30 +106,35 @@ def arc_heights(
     types: str,
     classification: int,
     require_class: bool = False,
+    patches: DataFrame | None = None,
 ) -> DataFrame:
     """Heights for all vertices of the arcs of some entities: arc_id, pos, x, y, z.
 
     Every vertex takes the z of the nearest point of the class within its nearest patch.
     The patch is chosen first, so a patch without such a point gives z = 0;
     ``require_class`` chooses among patches that have one.  x and y are real coordinates.
+    ``patches`` may be the stored extents of all patches, which saves a scan of the points.
     """
     wanted = points_by_class(points, classification)
-    patches = materialise(patches_of(wanted if require_class else points))
+    if patches is None or require_class:
+        patches = materialise(patches_of(wanted if require_class else points))
     ids = arc_ids_of(topology.ring_arcs, types)
     vertices = arc_vertices(real_arcs(topology).join(ids, "arc_id", "left_semi"))
-    placed = nearest_patch(vertices.select("x", "y").distinct(), patches)
-    heights = nearest_point_z(placed.drop("d2"), wanted, patches).select("x", "y", "z")
+    placed = materialise(nearest_patch(vertices.select("x", "y").distinct(), patches).drop("d2"))
+    heights = nearest_point_z(placed, wanted, patches).select("x", "y", "z")
     return vertices.join(heights, ["x", "y"], "left").selectExpr(
         "arc_id", "pos", "x", "y", "coalesce(double(z), 0.0D) AS z"
     )
 
 
-def arc_heights_from_patches(arcs: DataFrame, points: DataFrame, classification: int) -> DataFrame:
+def arc_heights_from_patches(
+    arcs: DataFrame, points: DataFrame, classification: int, patches: DataFrame | None = None
+) -> DataFrame:
     """Heights from all patches an arc meets: arc_id, pos, x, y, z.
 
     Arcs that meet no patch, or only patches without a point of the class, are left out.
     """
-    patches = materialise(patches_of(points))
+    patches = materialise(patches_of(points)) if patches is None else patches
     pairs = arcs_meeting_boxes(arcs, patches, "patch_id")
     wanted = points_by_class(points, classification)
     # nearest point per vertex and patch first, then the best patch of each vertex
@@ -120,19 +147,17 @@ def arc_heights_from_patches(arcs: DataFrame, points: DataFrame, classification:
     )
 
 
-def arcs_without_heights(arcs: DataFrame, heights: DataFrame) -> DataFrame:
-    """Arcs that an update would leave as they are, e.g. those that meet no patch."""
-    return arcs.join(heights.select("arc_id").distinct(), "arc_id", "left_anti")
-
-
-def arc_ground_points(arcs: DataFrame, points: DataFrame, classification: int) -> DataFrame:
+def arc_ground_points(
+    arcs: DataFrame, points: DataFrame, classification: int, patches: DataFrame | None = None
+) -> DataFrame:
     """Number and height range of the points of a class in the patches an arc meets.
 
     Points are counted per patch first, so only one row per (arc, patch) is joined.
     """
-    pairs = arcs_meeting_boxes(arcs, materialise(patches_of(points)), "patch_id")
+    patches = materialise(patches_of(points)) if patches is None else patches
+    pairs = materialise(arcs_meeting_boxes(arcs, patches, "patch_id"))
     per_patch = materialise(
-        points_by_class(points, classification)
+        of_patches(points_by_class(points, classification), pairs)
         .groupBy("patch_id")
         .agg(F.expr("count(*) AS n"), F.expr("min(z) AS low"), F.expr("max(z) AS high"))
     )
@@ -156,24 +181,29 @@ def update_arcs(arcs: DataFrame, heights: DataFrame) -> DataFrame:
     )
 
 
-def roof_points(points: DataFrame, features: DataFrame, erosion: float) -> DataFrame:
+def roof_points(
+    points: DataFrame, features: DataFrame, erosion: float, patches: DataFrame | None = None
+) -> DataFrame:
     """Roof points inside buildings, at least ``erosion`` from their border."""
-    return points_in_polygons(points_by_class(points, ROOF), features, erosion=erosion)
+    near = near_features(points_by_class(points, ROOF), features, patches)
+    return points_in_polygons(near, features, erosion=erosion)
 
 
 def roof_height(
-    points: DataFrame, features: DataFrame, erosion: float, keys: tuple[str, ...] = ("source", "gid")
+    points: DataFrame, features: DataFrame, erosion: float, keys: tuple[str, ...] = ("source", "gid"),
+    patches: DataFrame | None = None,
 ) -> DataFrame:
     """Mean roof height per building; 0 with has_roof = false when it has no roof point.
 
-    Equal positions are added up before the spatial join, so copies cost one row.
+    Equal positions are added up before the spatial join, so copies cost one row, and each
+    counts once for a building, also on the border between two of its parts.
     """
     summed = (
-        points_by_class(points, ROOF)
+        near_features(points_by_class(points, ROOF), features, patches)
         .groupBy("x", "y")
         .agg(F.expr("sum(z) AS sum_z"), F.expr("count(*) AS n"))
     )
-    inside = points_in_polygons(summed, features, list(keys), erosion=erosion)
+    inside = points_in_polygons(summed, features, list(keys), erosion=erosion).distinct()
     means = inside.groupBy(*keys).agg(F.expr("sum(sum_z) / sum(n) AS z"), F.expr("sum(n) AS n"))
     # the parts of a multi-part building are one building
     return features.select(*keys).distinct().join(means, list(keys), "left").selectExpr(
@@ -182,7 +212,7 @@ def roof_height(
 
 
 def raise_entities(
-    topology: Topology, points: DataFrame, types: str, erosion: float
+    topology: Topology, points: DataFrame, types: str, erosion: float, patches: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Lifts entities to their mean roof height on copies of their arcs.
 
@@ -193,7 +223,7 @@ def raise_entities(
     point to the original arcs.  Points are in real coordinates.
     """
     chosen = real_entities(topology).filter(types)
-    heights = roof_height(points, chosen, erosion, keys=("entity_id",)).select("entity_id", "z")
+    heights = roof_height(points, chosen, erosion, ("entity_id",), patches).select("entity_id", "z")
     first = topology.arcs.agg(F.max("arc_id")).first()[0]
     uses = topology.ring_arcs.filter(types)
     numbered = with_dense_id(

@@ -56,13 +56,14 @@ class Store:
     @cached_property
     def terrain(self) -> DataFrame:
         return materialise(
-            heights.arc_heights(self.topology, self.points, pipeline.TERRAIN, heights.GROUND)
+            heights.arc_heights(
+                self.topology, self.points, pipeline.TERRAIN, heights.GROUND, patches=self.patches)
         )
 
     @cached_property
     def raised(self) -> tuple[DataFrame, DataFrame]:
         arcs, uses = heights.raise_entities(
-            self.topology, self.points, pipeline.BUILDING, derived.EROSION
+            self.topology, self.points, pipeline.BUILDING, derived.EROSION, self.patches
         )
         return materialise(arcs), materialise(uses)
 
@@ -221,20 +222,23 @@ def polygon_polygon_join(spark, d):
 
 
 def points_in_polygon(spark, d):
-    roof = heights.points_by_class(store(spark, d).points, heights.ROOF)
-    return spatial.points_in_polygons(roof, store(spark, d).buildings)
+    s = store(spark, d)
+    roof = heights.points_by_class(s.points, heights.ROOF)
+    near = heights.near_features(roof, s.buildings, s.patches)
+    return spatial.points_in_polygons(near, s.buildings).select(*roof.columns, *spatial.KEYS)
 
 
 def roof_points(spark, d):
     return heights.roof_points(
-        store(spark, d).points, store(spark, d).buildings, derived.EROSION
+        store(spark, d).points, store(spark, d).buildings, derived.EROSION, store(spark, d).patches
     )
 
 
 def roof_height(spark, d):
     return _rounded(
         heights.roof_height(
-            store(spark, d).points, store(spark, d).buildings, derived.EROSION
+            store(spark, d).points, store(spark, d).buildings, derived.EROSION,
+            patches=store(spark, d).patches,
         ), "z",
     )
 
@@ -243,7 +247,8 @@ def roof_height_rebuilt(spark, d):
     t = store(spark, d).topology
     rebuilt = assemble.polygons(t.ring_arcs.filter(pipeline.BUILDING), t.arcs)
     return _rounded(
-        heights.roof_height(store(spark, d).points, rebuilt, derived.EROSION, ("entity_id", "gid")),
+        heights.roof_height(
+            store(spark, d).points, rebuilt, derived.EROSION, ("entity_id", "gid"), store(spark, d).patches),
         "z",
     )
 
@@ -339,22 +344,24 @@ def nearest_points_k(spark, d):
 
 def terrain_arcs_z(spark, d):
     s = store(spark, d)
-    return heights.arc_heights(s.topology, s.points, pipeline.TERRAIN, heights.GROUND)
+    return heights.arc_heights(
+        s.topology, s.points, pipeline.TERRAIN, heights.GROUND, patches=s.patches)
 
 
 def building_arcs_z(spark, d):
     s = store(spark, d)
-    return heights.arc_heights(s.topology, s.points, pipeline.BUILDING, heights.ROOF)
+    return heights.arc_heights(
+        s.topology, s.points, pipeline.BUILDING, heights.ROOF, patches=s.patches)
 
 
 def arc_z_from_patches(spark, d):
     s = store(spark, d)
-    return heights.arc_heights_from_patches(s.topology.arcs, s.points, heights.GROUND)
+    return heights.arc_heights_from_patches(s.topology.arcs, s.points, heights.GROUND, s.patches)
 
 
 def arc_ground_points(spark, d):
     s = store(spark, d)
-    return heights.arc_ground_points(s.topology.arcs, s.points, heights.GROUND)
+    return heights.arc_ground_points(s.topology.arcs, s.points, heights.GROUND, s.patches)
 
 
 def arcs_collect(spark, d):
