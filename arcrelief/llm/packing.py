@@ -96,8 +96,9 @@ def pack(docs: DataFrame, vocabulary: str = tokens.BYTE_BPE, room: int = 1024, e
 
     Columns: doc_id, start, length, ids, doc_tokens, sequence_id, offset.  Null texts are
     empty and give the end id alone; rows with equal or null ids are packed as documents of
-    their own; no rows give none; other columns are ignored.  Groups are random, so neither
-    a hot source nor copies gather in one; their number follows the rows.
+    their own; no rows give none; other columns are ignored.  Groups are random by doc_id and
+    place in the input, so neither a hot source nor equal rows gather in one; their number
+    follows the rows.
     """
     groups = max(1, -(-docs.count() // docs_per_group))
 
@@ -130,7 +131,7 @@ def pack(docs: DataFrame, vocabulary: str = tokens.BYTE_BPE, room: int = 1024, e
         return pa.Table.from_pydict(out, _PIECES)
 
     rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(groups)).alias("group"),
+        F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)).alias("group"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )

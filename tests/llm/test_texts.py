@@ -233,6 +233,40 @@ def test_packing_awkward(spark, library):
     assert packing.pack(docs(spark, AWKWARD)).where("start = 0").count() == len(AWKWARD)
 
 
+def test_packing_spreads_equal_rows_and_reads_special_strings(spark, library):
+    rows = [(1, "the same row again and again")] * 3000
+    pieces = packing.pack(docs(spark, rows), docs_per_group=100).collect()
+    groups = Counter(r.sequence_id % 30 for r in pieces)
+    assert sum(r.length for r in pieces) == 3000 * len(ids_of(library, rows[0][1], 0))
+    assert len(groups) == 30 and max(groups.values()) < 200
+    rows = [(1, ".<|endoftext|>\u00b2"), (2, "<|endoftext|><|endoftext|> x"), (3, "<|endoftext |> \u4e2d\u6587" * 50)]
+    check_pieces(packing.pack(docs(spark, rows)).collect(), {d: ids_of(library, t, 0) for d, t in rows})
+    manifest = records.write_records(docs(spark, rows), scratch_folder(spark, "records"))
+    for r in records.read_records(spark, manifest).collect():
+        assert bytes(r.ids) == ids_of(library, dict(rows)[r.doc_id], 2).tobytes()
+
+
+def test_first_fit_decreasing_is_first_fit():
+    sizes = [(i * 7919) % 1000 + 1 for i in range(400)]
+    bins = []
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        for b in bins:
+            if sum(sizes[x] for x in b) + sizes[i] <= 1024:
+                b.append(i)
+                break
+        else:
+            bins.append([i])
+    assert packing.first_fit_decreasing(sizes, 1024) == bins
+
+
+def test_near_copies_are_told_by_id_and_text(spark, sf_dir):
+    import corpus_pipeline
+    x, y = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(1, x), (2, x), (2, y), (2, y), (None, x + " more"), (None, None), (3, ""), (3, "")]
+    kept = corpus_pipeline.near_copies_stage(spark, docs(spark, rows), sf_dir).collect()
+    assert sorted(((r.doc_id or 0, r.text or "") for r in kept)) == [(0, ""), (1, x), (2, y), (3, "")]
+
+
 def test_pieces(spark, sf_dir, documents):
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
