@@ -28,21 +28,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of similar documents stays (five words, 0.8).
+    """One document of each group of similar ones stays (five words, 0.8).
 
-    Of rows with one doc_id and one text, one stays; rows of one doc_id and other texts are told
-    apart by the join only where they don't link.  Rows without a doc_id can't stand for a
-    group and stay, each text once.
+    A document is told by its doc_id and text together: rows of one doc_id with different texts
+    are documents of their own, and of rows equal in both one stays.  Of each group the document with
+    the smallest doc_id stays (nulls last; then by a hash of both).
     """
-    docs = docs.select(*COLUMNS)
-    text = [F.xxhash64("text").alias("_one"), F.xxhash64(F.lit("b"), "text").alias("_two")]
-    key = ["doc_id", "_one", "_two"]
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", F.xxhash64("text"), "text").alias("_key"))
+    groups = staged(
+        jaccard_join.similar_groups(keyed.select(F.col("_key").alias("doc_id"), "text"))
+        .select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct(), "groups")
     first = (
-        jaccard_join.similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+        groups.join(keyed.select("_key", "doc_id").distinct(), "_key")
+        .groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))["_key"].alias("_key"))
     )
-    named = docs.join(first, "doc_id", "left_semi").select("*", *text).dropDuplicates(key)
-    unnamed = docs.where("doc_id IS NULL").select("*", *text).dropDuplicates(key)
-    return named.union(unnamed).select(*COLUMNS)
+    return keyed.join(first.select("_key"), "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
