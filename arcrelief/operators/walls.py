@@ -12,39 +12,59 @@ from .topology import border_arcs
 
 
 def shared_walls(
-    terrain: DataFrame, buildings: DataFrame, terrain_keys: list[str], building_keys: list[str]
+    terrain: DataFrame, buildings: DataFrame, terrain_keys: list[str], building_keys: list[str],
+    tolerance: float = 0.0,
 ) -> DataFrame:
     """Stretches where a terrain border and a building border run along each other.
 
     Edges meet through grid cells, must lie on one line and overlap by more than a point.
-    (x1, y1) to (x2, y2) follows the terrain edge; the vertices need not coincide.
+    (x1, y1) to (x2, y2) follows the terrain edge; the vertices need not coincide.  With a
+    ``tolerance`` the two edges may be that far apart at both ends of the stretch, which must be
+    longer than it.  What counts is the stretch, so a long edge that turns away beyond a junction
+    still fits a short one.  Without it the test is exact on whole numbers.
     """
+    t = f"{float(tolerance)!r}D"
 
-    def edges(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    def edges(df: DataFrame, keys: list[str], name: str, reach: str) -> DataFrame:
         flat = df.selectExpr(*keys, f"explode_outer({g.polygon_edges('rings')}) AS {name}")
-        return flat.selectExpr("*", *g.edge_bbox(name))
+        sides = [
+            f"{fn}({name}.{axis}1, {name}.{axis}2) {sign} {reach} AS {axis}{agg}"
+            for agg, fn, sign in (("min", "least", "-"), ("max", "greatest", "+")) for axis in ("x", "y")
+        ]
+        return flat.selectExpr("*", *(sides if tolerance else g.edge_bbox(name)))
 
-    pairs = grid.extent_pairs(edges(terrain, terrain_keys, "e"), edges(buildings, building_keys, "f"))
-    collinear = f"{g.cross_to('e', 'f.x1', 'f.y1')} = 0 AND {g.cross_to('e', 'f.x2', 'f.y2')} = 0"
+    pairs = grid.extent_pairs(edges(terrain, terrain_keys, "e", t), edges(buildings, building_keys, "f", "0.0D"))
 
     def along(x: str, y: str) -> str:
         return f"(({x} - e.x1) * (e.x2 - e.x1) + ({y} - e.y1) * (e.y2 - e.y1))"
 
-    ends = (
-        "array_sort(array("
-        f"named_struct('t', {along('f.x1', 'f.y1')}, 'x', f.x1, 'y', f.y1),"
-        f"named_struct('t', {along('f.x2', 'f.y2')}, 'x', f.x2, 'y', f.y2)))"
-    )
-    first = f"named_struct('t', {along('e.x1', 'e.y1')}, 'x', e.x1, 'y', e.y1)"
-    last = f"named_struct('t', {along('e.x2', 'e.y2')}, 'x', e.x2, 'y', e.y2)"
+    def length(e: str) -> str:
+        return f"sqrt(double({g.dist2(f'{e}.x1', f'{e}.y1', f'{e}.x2', f'{e}.y2')}))"
+
+    def off(e: str, x: str, y: str) -> str:
+        """Distance from a point to the edge's line, times the edge's length."""
+        return f"abs(double({g.cross_to(e, x, y)}))"
+
+    def end(x: str, y: str, other: str) -> str:
+        return (
+            f"named_struct('t', {along(x, y)}, 'x', {x}, 'y', {y},"
+            f" 'off', {off(other, x, y)}, 'length', {length(other)})"
+        )
+
+    # an end of the stretch is a vertex of one edge; what counts is how far it is from the other one
+    ends = f"array_sort(array({end('f.x1', 'f.y1', 'e')}, {end('f.x2', 'f.y2', 'e')}))"
+    first, last = end("e.x1", "e.y1", "f"), end("e.x2", "e.y2", "f")
     return (
-        pairs.filter(collinear)
-        .selectExpr(*terrain_keys, *building_keys, "e", f"{ends} AS f")
+        pairs.selectExpr(*terrain_keys, *building_keys, "e", "f", f"{ends} AS _f")
         .selectExpr(
-            *terrain_keys, *building_keys, f"if(f[0].t > 0, f[0], {first}) AS a",
-            f"if(f[1].t < {along('e.x2', 'e.y2')}, f[1], {last}) AS b",
+            *terrain_keys, *building_keys, f"{length('e')} AS _length",
+            f"if(_f[0].t > 0, _f[0], {first}) AS a",
+            f"if(_f[1].t < {along('e.x2', 'e.y2')}, _f[1], {last}) AS b",
+        )
+        .filter(
+            f"a.off <= {t} * a.length AND b.off <= {t} * b.length"
+            f" AND b.t > a.t AND double(b.t - a.t) > {t} * _length"
         )
-        .filter("a.t < b.t")
         .selectExpr(
             *terrain_keys, *building_keys, "a.x AS x1", "a.y AS y1", "b.x AS x2", "b.y AS y2"
         )

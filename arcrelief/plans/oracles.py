@@ -620,6 +620,12 @@ def oracle_sql() -> dict[str, str]:
             FROM nb a JOIN nb b ON a.source = 'parcel' AND b.source = 'pand'
              AND ((a.x = b.nx AND a.y = b.ny AND a.nx = b.x AND a.ny = b.y)
                OR (a.x = b.x AND a.y = b.y AND a.nx = b.nx AND a.ny = b.ny))"""),
+        "shared_walls_metres": _sql(
+            plain_edges, """SELECT a.gid AS parcel, b.gid AS building, 2 * count(*) AS n,
+              round(sum(sqrt(((a.nx - a.x) * (a.nx - a.x) + (a.ny - a.y) * (a.ny - a.y))::DOUBLE)) / 100, 2) AS length
+            FROM nb a JOIN nb b ON a.source = 'parcel' AND b.source = 'pand'
+             AND ((a.x = b.nx AND a.y = b.ny AND a.nx = b.x AND a.ny = b.y)
+               OR (a.x = b.x AND a.y = b.y AND a.nx = b.nx AND a.ny = b.ny)) GROUP BY a.gid, b.gid"""),
         "wall_segments": _sql(
             TOPO + WALLS,
             f"SELECT {_i('arc_id', 'entity_a', 'entity_b', 'pos', 'x1', 'y1', 'x2', 'y2')} FROM ws"),
