@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import replace
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -209,28 +210,72 @@ def vertex_effective_area(arcs: DataFrame) -> DataFrame:
     )
 
 
+def weigh_arcs(arcs: DataFrame) -> DataFrame:
+    """Adds ``weights`` to arcs (arc_id, points): the effective area of each vertex, infinite at the ends.
+
+    Areas are those of repeated removal of the least triangle (Visvalingam and Whyatt).  Points
+    pass through the same Arrow batches, nothing is shuffled or joined.
+    """
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch.column(1)
+            sizes = points.value_lengths().to_numpy()
+            flat = points.flatten()
+            xs, ys = (flat.field(a).to_numpy(zero_copy_only=False).astype(float).tolist() for a in "xy")
+            weights, start = [], 0
+            for n in sizes.tolist():
+                weights.append(_weights(xs[start:start + n], ys[start:start + n]))
+                start += n
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), points, pa.array(weights, pa.list_(pa.float64()))],
+                ["arc_id", "points", "weights"])
+
+    kind = arcs.schema["points"].dataType.simpleString()
+    return arcs.select("arc_id", "points").mapInArrow(
+        weigh, f"arc_id BIGINT, points {kind}, weights ARRAY<DOUBLE>")
+
+
 def simplify_arcs(arcs: DataFrame, min_area: float) -> DataFrame:
     """Removes arc vertices whose effective area is below ``min_area``; ends stay.
 
-    Areas are those of repeated removal of the least triangle (Visvalingam and Whyatt).
-    Only arcs with inner vertices leave the JVM, in Arrow batches and without a shuffle.
+    Arcs are simplified alone, so a small ring may be left with fewer than three vertices;
+    ``simplify_topology`` guards rings.
     """
-    inner = arcs.filter("size(points) > 2").selectExpr(
-        "arc_id", "transform(points, p -> double(p.x)) AS xs",
-        "transform(points, p -> double(p.y)) AS ys",
-    )
+    return weigh_arcs(arcs).selectExpr(
+        "arc_id", f"filter(points, (p, i) -> weights[i] >= {float(min_area)!r}D) AS points")
 
-    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            weights = [_weights(x, y) for x, y in zip(batch["xs"], batch["ys"])]
-            yield pd.DataFrame({"arc_id": batch["arc_id"], "weights": weights})
 
-    weighed = inner.mapInPandas(weigh, "arc_id BIGINT, weights ARRAY<DOUBLE>")
-    return arcs.join(weighed, "arc_id", "left").selectExpr(
-        "arc_id",
-        "if(weights IS NULL, points,"
-        f" filter(points, (p, i) -> weights[i] >= {float(min_area)!r}D)) AS points",
+def simplify_topology(topology: Topology, min_area: float) -> Topology:
+    """The topology with simplified arcs, no ring of which has fewer than three vertices.
+
+    Where the arcs of a ring would keep less, the ring keeps its heaviest vertices besides
+    (by weight, then arc and position), and the arcs keep them for all their rings.  An arc
+    brings at most two such vertices to a ring, so nothing grows with an arc's length.
+    Points keep all their fields.
+    """
+    least = f"{float(min_area)!r}D"
+    weighed = materialise(weigh_arcs(topology.arcs))
+    light = f"filter(transform(weights, (w, i) -> named_struct('w', -w, 'pos', i)), v -> -v.w < {least})"
+    kept = weighed.selectExpr(
+        "arc_id", f"size(filter(weights, w -> w >= {least})) - 1 AS n_left",
+        f"slice(array_sort({light}), 1, 2) AS spare")
+    rings = (
+        topology.ring_arcs.select("entity_id", "part", "ring", "arc_id").join(kept, "arc_id")
+        .groupBy("entity_id", "part", "ring")
+        .agg(F.sum("n_left").alias("n_left"),
+             F.expr("flatten(collect_set(transform(spare, s ->"
+                    " named_struct('w', s.w, 'arc_id', arc_id, 'pos', s.pos)))) AS spare"))
+        .filter("n_left < 3")
+    )
+    guarded = (
+        rings.selectExpr("explode(slice(array_sort(spare), 1, int(3 - n_left))) AS s")
+        .groupBy("s.arc_id").agg(F.expr("collect_set(s.pos) AS guarded"))
     )
+    arcs = weighed.join(guarded, "arc_id", "left").selectExpr(
+        "arc_id",
+        f"filter(points, (p, i) -> weights[i] >= {least} OR coalesce(array_contains(guarded, i), false)) AS points")
+    return replace(topology, arcs=materialise(arcs))
 
 
 def _weights(xs, ys) -> list[float]:

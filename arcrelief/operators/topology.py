@@ -113,16 +113,35 @@ def clean_rings(features: DataFrame) -> DataFrame:
     """Drops repeated consecutive vertices (cyclically) and rings left with fewer than 3.
 
     A polygon whose outer ring goes is dropped; ``n_dropped`` counts the lost holes.
+    ``dropped_rings`` lists them.
     """
-    distinct = "filter(ring, (p, i) -> p != if(i = 0, element_at(ring, -1), ring[i - 1]))"
     return (
-        features.withColumn("rings", F.expr(f"transform(rings, ring -> {distinct})"))
+        features.withColumn("rings", F.expr(f"transform(rings, ring -> {_distinct('ring')})"))
         .filter("size(rings[0]) >= 3")
         .withColumn("n_dropped", F.expr("size(filter(rings, ring -> size(ring) < 3))"))
         .withColumn("rings", F.expr("filter(rings, ring -> size(ring) >= 3)"))
     )
 
 
+def dropped_rings(features: DataFrame, q: float = 0) -> DataFrame:
+    """Rings that building a topology leaves out, with fewer than 3 vertices: keys, ring, n_vertices
+    (as given), n_left.  A polygon whose ring 0 is among them is left out as a whole."""
+    if q:
+        row = quantize_transform(features, q).first()
+        if row.dx is not None:
+            features = quantize(features, Transform(row.kx, row.ky, row.dx, row.dy))
+    return (
+        features.selectExpr(*ENTITY_KEYS, "posexplode(rings) AS (ring, line)")
+        .selectExpr(*ENTITY_KEYS, "ring", "size(line) AS n_vertices", f"size({_distinct('line')}) AS n_left")
+        .filter("n_left < 3")
+    )
+
+
+def _distinct(ring: str) -> str:
+    """A ring without vertices equal to the one before (cyclically)."""
+    return f"filter({ring}, (p, i) -> p != if(i = 0, element_at({ring}, -1), {ring}[i - 1]))"
+
+
 def ring_vertices(entities: DataFrame, *extra: str) -> DataFrame:
     """One row per ring vertex with its cyclic neighbours (px, py) and (nx, ny)."""
     return (
@@ -284,6 +303,44 @@ def neighbours(ring_arcs: DataFrame, entities: DataFrame) -> DataFrame:
     return entities.select("entity_id").join(pairs, "entity_id", "left")
 
 
+def neighbour_classes(ring_arcs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Neighbours in factored form: (members, links).
+
+    ``members`` (entity_id, class_id, size) puts entities with equal sets of arcs in one class,
+    named by its smallest entity.  ``links`` (class_id, neighbour_class, n_arcs, size) has the
+    pairs of classes that share arcs, with the number of shared arcs and the neighbours each member
+    has there; a class of several is linked with itself.  Every pair of neighbours is one
+    member of each side of a link, so copies of a polygon cost one row each and never a pair.
+    """
+    uses = materialise(ring_arcs.select("entity_id", "arc_id").distinct())
+    # sets are told apart by their size and two sums of hashes, which combine before the shuffle
+    sets = materialise(uses.groupBy("entity_id").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("arc_id")).alias("a"),
+        F.bit_xor(F.xxhash64(F.lit(7), "arc_id")).alias("b")))
+    classes = materialise(sets.groupBy("n", "a", "b").agg(
+        F.min("entity_id").alias("class_id"), F.count(F.lit(1)).alias("size")))
+    members = sets.join(classes, ["n", "a", "b"]).select("entity_id", "class_id", "size")
+    named = materialise(uses.join(classes.select("class_id", "size"), uses["entity_id"] == classes["class_id"])
+                        .select("arc_id", "class_id", "size"))
+    others = named.selectExpr("arc_id", "class_id AS neighbour_class", "size AS other_size")
+    links = (
+        named.join(others, "arc_id").filter("class_id != neighbour_class OR size > 1")
+        .groupBy("class_id", "neighbour_class")
+        .agg(F.count(F.lit(1)).alias("n_arcs"),
+             F.expr("max(if(class_id = neighbour_class, size - 1, other_size)) AS size"))
+    )
+    return members, links
+
+
+def neighbour_counts(ring_arcs: DataFrame, entities: DataFrame) -> DataFrame:
+    """Number of neighbours of each entity (entity_id, n_neighbours), without listing pairs."""
+    members, links = neighbour_classes(ring_arcs)
+    per_class = links.groupBy("class_id").agg(F.sum("size").alias("n_neighbours"))
+    counted = members.join(per_class, "class_id", "left").select("entity_id", "n_neighbours")
+    return entities.select("entity_id").join(counted, "entity_id", "left").select(
+        "entity_id", F.coalesce("n_neighbours", F.lit(0)).alias("n_neighbours"))
+
+
 def border_arcs(ring_arcs: DataFrame, type_a: str, type_b: str) -> DataFrame:
     """Arcs between an entity meeting condition ``type_a`` and one meeting ``type_b``."""
     a = ring_arcs.filter(type_a).selectExpr("arc_id", "entity_id AS entity_a").distinct()

@@ -21,6 +21,8 @@ GROUND_BOX = (9500, 1500, 35500, 8500)
 Q = 1e6
 PER_BUCKET = 2_000  # arcs in a bucket of the stored test topologies
 SIMPLIFY_AREA = 6000.0
+COLLAPSE_AREA = 200_000.0  # more than the area of any triangle in a building
+COARSE = 60  # steps of a quantisation that loses buildings
 _stores: dict[tuple[str, str], Store] = {}
 
 
@@ -125,6 +127,35 @@ def features_geojson(spark, d):
     return assemble.polygon_vertices(parsed, [*keys, "part"], closed=True)
 
 
+def rejected_features(spark, d):
+    """Feature documents, damaged by gid, that can't be read; by reason and type."""
+    keys = ["source", "gid", "type"]
+    documents = geojson.to_features(store(spark, d).features, keys)
+    damaged = documents.withColumn("feature", F.expr("""CASE gid % 11
+        WHEN 1 THEN substring(feature, 1, 60) WHEN 2 THEN replace(feature, 'Feature', 'Topology')
+        WHEN 3 THEN replace(feature, '"Polygon"', '"LineString"') WHEN 4 THEN replace(feature, '[[[', '[[["a",')
+        WHEN 5 THEN replace(feature, '"geometry"', '"shape"') WHEN 6 THEN replace(feature, '[[[', '[[[-1,-1],[')
+        WHEN 7 THEN NULL ELSE feature END"""))
+    properties = "source STRING, gid BIGINT, type STRING"
+    bad = geojson.rejected_features(damaged, "feature", properties).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("gid").alias("gids"))
+    good = geojson.from_features(damaged, "feature", properties)
+    return bad.unionByName(good.selectExpr("'read' AS reason", "gid").groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("gid").alias("gids")))
+
+
+def dropped_rings(spark, d):
+    return topology.dropped_rings(store(spark, d).features, COARSE).drop("part")
+
+
+def neighbour_counts(spark, d):
+    """Counts over the features and copies of every fifth one, in factored form."""
+    features = store(spark, d).features
+    copies = features.filter("gid % 5 = 0").withColumn("gid", F.expr("gid + 5000000"))
+    t = topology.build_topology(features.unionByName(copies))
+    return topology.neighbour_counts(t.ring_arcs, t.entities)
+
+
 def topology_rows(spark, d):
     return arc_ops.topology_rows(topology.build_topology(store(spark, d).features, Q))
 
@@ -460,6 +491,11 @@ def simplify_arcs(spark, d):
     )
 
 
+def simplify_rings(spark, d):
+    """Arcs simplified so far that buildings would vanish, with each ring keeping three vertices."""
+    return heights.arc_vertices(edit.simplify_topology(store(spark, d).topology, COLLAPSE_AREA).arcs)
+
+
 def shared_walls(spark, d):
     parcels = store(spark, d).parcels.selectExpr("gid AS parcel", "rings")
     buildings = store(spark, d).buildings.selectExpr("gid AS building", "rings")
@@ -552,7 +588,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     polygons3d, polygon_vertices, topology_features, outer_rings_geojson, features_geojson,
     topology_rows, topology_loaded, topology_problems, topology_rows_raised, solids_loaded,
     arcs_update_twice, roof_height_rebuilt, dissolve_boundary, dissolve, dissolve_polygons, vertex_effective_area,
-    simplify_arcs, shared_walls, shared_walls_metres, wall_segments, inset_rings, closest_on_boundary, wall_quads,
+    simplify_arcs, simplify_rings, rejected_features, dropped_rings, neighbour_counts, shared_walls, shared_walls_metres, wall_segments, inset_rings, closest_on_boundary, wall_quads,
     polygon_mesh,
 ]
 

@@ -8,7 +8,7 @@ Used only to check results.
 from __future__ import annotations
 
 from ..sources.derived import BUILDINGS, CLIP_BOX, EROSION, HOLES, INSET
-from .catalogue import GROUND_BOX, SIMPLIFY_AREA, Q
+from .catalogue import COARSE, COLLAPSE_AREA, GROUND_BOX, SIMPLIFY_AREA, Q
 
 
 def _shape_rows() -> str:
@@ -300,6 +300,22 @@ sim AS (
       FROM sim WHERE len(l) > 2))),
 """
 
+# of each ring left with fewer than three vertices the heaviest that would go
+WEIGHT = f"""
+weight AS MATERIALIZED (
+  SELECT av.*, q.w, coalesce(q.w >= {COLLAPSE_AREA}, true) AS kept FROM av
+  LEFT JOIN (SELECT arc_id, gone AS pos, w FROM sim WHERE gone IS NOT NULL) q USING (arc_id, pos)),
+brief AS (
+  SELECT entity_id, ring, sum(k - 1) AS n_left FROM ra
+  JOIN (SELECT arc_id, count(*) FILTER (kept) AS k FROM weight GROUP BY arc_id) USING (arc_id)
+  GROUP BY entity_id, ring HAVING sum(k - 1) < 3),
+guard AS (
+  SELECT arc_id, pos FROM (
+    SELECT DISTINCT entity_id, ring, n_left, weight.arc_id, weight.pos, w
+    FROM brief JOIN ra USING (entity_id, ring) JOIN weight ON weight.arc_id = ra.arc_id AND NOT kept)
+  QUALIFY row_number() OVER (PARTITION BY entity_id, ring ORDER BY w DESC, arc_id, pos) <= 3 - n_left),
+"""
+
 TOPO = BASE + PLAIN + EDGES + TOPOLOGY
 QTOPO = BASE + TRANSFORM.format(q=Q) + QUANTISED + EDGES + TOPOLOGY
 WALLS = """
@@ -614,6 +630,29 @@ def oracle_sql() -> dict[str, str]:
             FROM av LEFT JOIN (SELECT arc_id, gone AS pos, w FROM sim WHERE gone IS NOT NULL) q
               USING (arc_id, pos)
             WHERE w IS NULL OR w >= {SIMPLIFY_AREA}"""),
+        "simplify_rings": _sql(
+            TOPO + SIMPLIFY + WEIGHT, f"""SELECT {_i('arc_id')},
+              row_number() OVER (PARTITION BY arc_id ORDER BY pos) - 1 AS pos, {_i('x', 'y')}
+            FROM weight WHERE kept OR (arc_id, pos) IN (SELECT (arc_id, pos) FROM guard)"""),
+        "rejected_features": _sql(
+            plain_edges, """SELECT CASE gid % 11 WHEN 1 THEN 'not a JSON object with a type'
+              WHEN 2 THEN 'not a Feature but a Topology' WHEN 3 THEN 'not a polygon but a LineString'
+              WHEN 4 THEN 'coordinates are not rings of numbers' WHEN 5 THEN 'no geometry'
+              WHEN 6 THEN 'a ring is not closed or has fewer than three points'
+              WHEN 7 THEN 'not a JSON object with a type' ELSE 'read' END AS reason,
+              count(*) AS n, (sum(gid) FILTER (gid % 11 NOT IN (1, 7)))::BIGINT AS gids FROM ent GROUP BY reason"""),
+        "dropped_rings": _sql(
+            BASE + TRANSFORM.format(q=COARSE) + QUANTISED + EDGES, """SELECT source, gid, ring::BIGINT AS ring,
+              count(*) AS n_vertices, count(*) FILTER (x <> px OR y <> py) AS n_left
+            FROM nb GROUP BY source, gid, ring HAVING count(*) FILTER (x <> px OR y <> py) < 3"""),
+        "neighbour_counts": _sql(
+            BASE.replace("v AS (", "v0 AS (") + """
+            v AS (SELECT * FROM v0 UNION ALL SELECT source, gid + 5000000, type, ring, pos, x, y FROM v0
+              WHERE gid % 5 = 0),""" + PLAIN + EDGES + TOPOLOGY,
+            """SELECT ent.entity_id::BIGINT AS entity_id, count(nei) AS n_neighbours
+            FROM ent LEFT JOIN (SELECT DISTINCT a.entity_id, b.entity_id AS nei FROM ra a JOIN ra b
+              ON b.arc_id = a.arc_id AND b.entity_id <> a.entity_id) q
+            ON q.entity_id = ent.entity_id GROUP BY ent.entity_id"""),
         "shared_walls": _sql(
             plain_edges, """SELECT a.gid AS parcel, b.gid AS building, a.x::BIGINT AS x1,
               a.y::BIGINT AS y1, a.nx::BIGINT AS x2, a.ny::BIGINT AS y2
