@@ -578,6 +578,20 @@ def polygon_mesh(spark, d):
     )
 
 
+def mesh_quality(spark, d):
+    """Per polygon whether no triangle's circle holds a vertex and all corners are 3D vertices of it."""
+    solids = store(spark, d).polygons3d
+    triangles = mesh.polygon_mesh(solids, "entity_id").join(
+        solids.selectExpr("entity_id", "flatten(rings) AS vs"), "entity_id")
+    (ax, ay), (bx, by), (cx, cy) = ((f"(corners[{i}].x - v.x)", f"(corners[{i}].y - v.y)") for i in range(3))
+    inside = (f"({ax} * {ax} + {ay} * {ay}) * ({bx} * {cy} - {cx} * {by})"
+              f" - ({bx} * {bx} + {by} * {by}) * ({ax} * {cy} - {cx} * {ay})"
+              f" + ({cx} * {cx} + {cy} * {cy}) * ({ax} * {by} - {bx} * {ay}) > 0")
+    return triangles.groupBy("entity_id").agg(
+        F.expr("count(*) AS n_triangles"), F.expr(f"every(NOT exists(vs, v -> {inside})) AS all_empty"),
+        F.expr("every(forall(corners, p -> array_contains(vs, p))) AS all_carried"))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     terrain_arcs_z, roof_height, roof_points, points_in_polygon, points_by_class, patch_stats,
     clip_features, ground_points_in_box, polygon_patch_join, mixed_extent_pairs, arc_patch_join,
@@ -589,7 +603,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     topology_rows, topology_loaded, topology_problems, topology_rows_raised, solids_loaded,
     arcs_update_twice, roof_height_rebuilt, dissolve_boundary, dissolve, dissolve_polygons, vertex_effective_area,
     simplify_arcs, simplify_rings, rejected_features, dropped_rings, neighbour_counts, shared_walls, shared_walls_metres, wall_segments, inset_rings, closest_on_boundary, wall_quads,
-    polygon_mesh,
+    polygon_mesh, mesh_quality,
 ]
 
 

@@ -688,6 +688,10 @@ def oracle_sql() -> dict[str, str]:
               (count(*) + 2 * max(ring) - 2)::BIGINT AS n_triangles,
               abs(sum(x * ny - nx * y))::BIGINT AS double_area
             FROM nb GROUP BY entity_id"""),
+        "mesh_quality": _sql(
+            plain_edges, """SELECT entity_id::BIGINT AS entity_id,
+              (count(*) + 2 * max(ring) - 2)::BIGINT AS n_triangles, true AS all_empty, true AS all_carried
+            FROM nb GROUP BY entity_id"""),
     }
 
 
