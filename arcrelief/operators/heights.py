@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
@@ -137,8 +137,22 @@ def arc_heights_from_patches(
     patches = materialise(patches_of(points)) if patches is None else patches
     pairs = arcs_meeting_boxes(arcs, patches, "patch_id")
     wanted = points_by_class(points, classification)
+    # a vertex needs no patch that begins farther away than another one with points must end
+    counted = {GROUND: "n_ground", ROOF: "n_roof"}.get(classification)
+    if counted is None:
+        sizes = wanted.groupBy("patch_id").agg(F.count(F.lit(1)).alias("n_class"))
+        extents = patches.join(sizes, "patch_id")
+    else:
+        extents = patches.withColumnRenamed(counted, "n_class").filter("n_class > 0")
+    mine = Window.partitionBy("arc_id", "pos")
+    vertices = arc_vertices(arcs)
+    reached = (
+        vertices.join(pairs, "arc_id").join(extents.select("patch_id", *g.SIDES), "patch_id")
+        .withColumn("bound", F.min(F.expr(g.box_far2("x", "y", g.box()))).over(mine))
+        .filter(f"{g.box_dist2('x', 'y', g.box())} <= bound")
+    )
     # nearest point per vertex and patch first, then the best patch of each vertex
-    placed = materialise(arc_vertices(arcs).join(pairs, "arc_id"))
+    placed = materialise(reached.select(*vertices.columns, "patch_id"))
     return (
         nearest_point_z(placed, wanted, patches)
         .filter("d2 IS NOT NULL")

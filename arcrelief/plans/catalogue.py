@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..operators import arcs as arc_ops
 from ..operators import assemble, edit, heights, mesh, spatial, topology, walls
-from ..session import materialise, scratch_path
+from ..session import materialise, scratch_path, stage_table
 from ..sources import derived, geojson
 from ..sources import store as stored
 from . import pipeline
@@ -36,7 +36,8 @@ class Store:
     @cached_property
     def features(self) -> DataFrame:
         spread = self.spark.sparkContext.defaultParallelism
-        return materialise(derived.features(self.spark, self.sf_dir).repartition(spread, "gid"))
+        features = derived.features(self.spark, self.sf_dir).repartition(spread, "gid")
+        return stage_table(features, "features", "source")
 
     @property
     def parcels(self) -> DataFrame:
@@ -75,7 +76,7 @@ class Store:
 
     @cached_property
     def patches(self) -> DataFrame:
-        return materialise(spatial.patches_of(self.points))
+        return stage_table(spatial.patches_of(self.points), "patches")
 
     @cached_property
     def raised_path(self) -> str:

@@ -53,3 +53,15 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the checkpoint folder, read back with the same columns.
+
+    For tables between the steps that are read by parts: what follows reads only the columns and
+    partitions it needs, and filters reach the scan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -24,6 +24,20 @@ def read_polygons(
     )
 
 
+def envelope_features(rows: DataFrame, properties: str = "properties") -> DataFrame:
+    """Features from envelopes with JSON properties (``gid``, ``type``, perhaps ``source``, ``part``).
+
+    ``rows`` has xmin, ymin, xmax, ymax and a column of JSON objects, such as the rows of
+    ``createDataFrame`` or VALUES; each becomes one rectangle, counter-clockwise.
+    """
+    corners = [("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax")]
+    ring = ", ".join(f"named_struct('x', {x}, 'y', {y})" for x, y in corners)
+    read = F.from_json(properties, "source STRING, gid BIGINT, part INT, type STRING")
+    return rows.withColumn("_p", read).selectExpr(
+        "coalesce(_p.source, 'inline') AS source", "_p.gid AS gid", "coalesce(_p.part, 0) AS part",
+        "_p.type AS type", f"array(array({ring})) AS rings")
+
+
 def read_points(spark: SparkSession, path: str, classification: int | None = None) -> DataFrame:
     """Scan a point cloud; the class filter reaches the Parquet scan."""
     points = spark.read.parquet(path).select("patch_id", "x", "y", "z", "classification")

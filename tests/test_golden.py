@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from arcrelief.operators import arcs as arc_ops
 from arcrelief.operators import assemble, edit, heights, topology
 from arcrelief.plans import pipeline
-from arcrelief.sources import geojson
+from arcrelief.sources import geojson, tables
 
 
 def squares(spark):
@@ -16,6 +16,17 @@ def squares(spark):
     ])
 
 
+def test_features_from_envelopes_with_json_properties(spark):
+    rows = spark.createDataFrame(
+        [('{"gid": 1, "type": "water"}', 0, 0, 100, 100), ('{"gid": 2, "type": "land"}', 0, 100, 100, 200)],
+        "properties STRING, xmin LONG, ymin LONG, xmax LONG, ymax LONG")
+    t = topology.build_topology(tables.envelope_features(rows))
+    assert t.arcs.count() == 3
+    pairs = {tuple(r) for r in topology.neighbours(t.ring_arcs, t.entities).collect()}
+    assert pairs == {(1, 2), (2, 1)}
+    assert {(r.gid, r.type, r.source) for r in t.entities.collect()} == {(1, "water", "inline"), (2, "land", "inline")}
+
+
 def uses(t):
     return {(r.entity_id, r.arc_id): r.reversed for r in t.ring_arcs.collect()}
 
