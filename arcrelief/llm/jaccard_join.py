@@ -5,11 +5,12 @@ The method, for sets that link when 100 * intersection >= percent * union:
 1. A document is the set of its shingles' hashes.  Equal sets are one node.
 2. Shingles are ordered, those seen often behind the others, then by hash.  A set of n linked
    to another shares at least need = ceil(percent * n / 100) shingles with it, so among the
-   first n - need + 1 of both in this order there is a common one: the prefixes suffice to
-   find candidates.
+   first n - need + overlap of both in this order there are ``overlap`` common ones (or need, if
+   that is less): the prefixes suffice to find candidates.
 3. Nodes are partitioned into groups of similar ones.  The token-group matrix has a row for each
-   prefix shingle and group, the union over the group's members.  Two groups with a common
-   row whose sizes may fit qualify; all others are never opened.
+   prefix shingle and group, the union over the group's members.  The common rows of two groups
+   whose sizes may fit are added up, which bounds the overlap of any member of one with the
+   other; groups below the overlap that the least of their members needs are never opened.
 4. Opened groups meet in one task, first with sketches of 256 bytes, whose difference bounds that
    of the sets; members that may still link meet again with their whole sets, shingled anew from
    the texts.  There each query's overlap with the other group's union comes first; only queries
@@ -101,7 +102,7 @@ def sketch_of(tokens: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(tokens >> 40 & (SKETCH - 1), minlength=SKETCH) & 1).astype(bool))
 
 
-def _sketched(rows: DataFrame, size: int, percent: int, often: np.ndarray) -> DataFrame:
+def _sketched(rows: DataFrame, size: int, percent: int, often: np.ndarray, overlap: int) -> DataFrame:
     """doc_id, text_key, node (hash of the set), n, grp, sketch and prefix of each document.
 
     The group: the set's least frequent-shingle hash (its least hash, if none is frequent)
@@ -121,7 +122,7 @@ def _sketched(rows: DataFrame, size: int, percent: int, often: np.ndarray) -> Da
                 for i, own in enumerate(found):
                     late = _in_bitmap(bitmap, own)
                     first, last = own[~late], own[late]  # each in order of their hashes
-                    length = len(own) - need_of(len(own), percent) + 1 if len(own) else 0
+                    length = len(own) - need_of(len(own), percent) + overlap if len(own) else 0
                     prefixes.append(np.concatenate([first, last])[:length])
                     groups[i] = last[0] if len(last) else own[0] if len(own) else 0
                 with np.errstate(over="ignore"):
@@ -346,7 +347,7 @@ def _verified(members: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int = 20,
-                   members: int = 256, member_tokens: int = 500_000) -> DataFrame:
+                   members: int = 256, member_tokens: int = 500_000, overlap: int = 3) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles and component_id.
 
     Documents link by shingles of ``size`` words when 100 * intersection >= ``percent`` *
@@ -355,14 +356,15 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int
     and rows of the same doc_id are documents of their own; null doc_ids don't count for
     the smallest; an empty table gives no rows; other columns are ignored.
 
-    ``often``: prefix shingles counted that many times go to the end of the order.
+    ``often``: prefix shingles counted that many times go to the end of the order.  ``overlap``:
+    common prefix shingles that open two groups; any number from 1 gives the same links.
     ``members`` and ``member_tokens`` bound a group: larger ones are split, and their parts
     meet pairwise like other groups.  Hashes of shingles and of sets have 64 bits.
     """
     rows = _rows(docs)
     counts = _counted(rows, size, percent).groupBy("token").count()
     frequent = _bitmap(counts.where(F.col("count") >= often), "token")
-    sets = staged(_sketched(rows, size, percent, frequent), "sketches")
+    sets = staged(_sketched(rows, size, percent, frequent, overlap), "sketches")
     filled = sets.where("n > 0")
     prefixes = filled.select(F.explode("prefix").alias("token"), "node", "n", "grp")
     twice = prefixes.groupBy("token").count().where("count > 1")
@@ -381,11 +383,17 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80, often: int
              (F.min("node") != F.max("node")).alias("several")), "token-groups")
     one, two = matrix.alias("one"), matrix.alias("two")
     fits = F.expr(f"100L * one.hi >= {percent} * two.lo AND 100L * two.hi >= {percent} * one.lo")
-    pairs = staged(
+    # what the smaller of two linked sets needs at most; the rows of its shingles have no larger lo
+    needed = F.expr(f"least({overlap}L, ceil({percent} * least(min(one.lo), min(two.lo)) / 100))")
+    common = (
         one.join(two, F.col("one.token") == F.col("two.token"))
         .where(F.col("one.grp") < F.col("two.grp")).where(fits)
-        .select(F.col("one.grp").alias("ga"), F.col("two.grp").alias("gb"))
-        .union(matrix.where("several").select("grp", F.col("grp").alias("gb"))).distinct(),
+        .groupBy(F.col("one.grp").alias("ga"), F.col("two.grp").alias("gb"))
+        .agg(F.count(F.lit(1)).alias("rows"), needed.alias("needed"))
+    )
+    pairs = staged(
+        common.where("rows >= needed").select("ga", "gb")
+        .union(matrix.where("several").select("grp", F.col("grp").alias("gb")).distinct()),
         "group-pairs")
 
     opened = pairs.select("ga", "gb", F.explode(F.array_distinct(F.array("ga", "gb"))).alias("grp"))
