@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import map_batches
+from .store import bounded_rows, map_batches
 
 WINDOW = 8
 _SPACES = " \t\n\x0b\x0c\r"
@@ -210,8 +210,9 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 20,
 def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> DecisionList:
     """Learns from ``labels`` (doc_id, quality; 0 is to be rejected) of ``docs``.
 
-    At most ``most_labels`` labelled rows, those of the smallest hashes of doc_id, are used for
-    fitting, so that what reaches the driver is bounded.  Labels that are null are left out.
+    About ``most_labels`` rows are used for fitting, so that what reaches the driver is bounded:
+    documents with the labels of the smallest hashes of doc_id, thinned evenly where labelled
+    doc_ids repeat.  Labels that are null are left out.
     """
     chosen = (
         labels.where("quality IS NOT NULL AND doc_id IS NOT NULL")
@@ -219,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000) -> Decisi
         .orderBy(F.xxhash64("doc_id"), "doc_id", "_quality")
         .limit(most_labels)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = bounded_rows(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), most_labels)
     table = (
         text_stats(rows, ("doc_id", "_quality"))
         .select("doc_id", "_quality", *(F.expr(e).alias(k) for k, e in FEATURES.items()))

@@ -77,5 +77,18 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_rows(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` (doc_id, text and others), thinned evenly by a hash where there are more than ``most``.
+
+    For fitting on a sample: also where one labelled doc_id owns any number of rows, about
+    ``most`` of them are used.  Only ids are read to count them.
+    """
+    n = rows.select("doc_id").count()
+    if n <= most:
+        return rows
+    place = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 30))
+    return rows.where(place < int((1 << 30) * most / n))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import map_batches, staged
+from .store import bounded_rows, map_batches, staged
 
 SIZES = (3, 4, 5, 6)
 BITS = 20
@@ -134,8 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000,
         most_features: int = 3_000, least_texts: int = 3) -> Model:
     """Learns from ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text).
 
-    At most ``most_labels`` labelled rows, those of the smallest hashes of doc_id, are used for
-    fitting; the ``most_features`` buckets that differ most between the classes (by their
+    About ``most_labels`` rows are used for fitting: documents with the labels of the smallest
+    hashes of doc_id, thinned evenly where labelled doc_ids repeat.  The ``most_features`` buckets that differ most between the classes (by their
     chi-squared statistic) get weights.  Null labels are left out.  Labels of one class
     only, or none, give a model that scores every text alike.
     """
@@ -145,9 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 20_000,
         .orderBy(F.xxhash64("doc_id"), "doc_id", "_toxic")
         .limit(most_labels)
     )
+    labelled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(chosen), "doc_id")
     sample = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(chosen), "doc_id")
+        bounded_rows(labelled, most_labels)
         .select("_toxic", "text")
         .repartition(16)  # of bounded size
     )

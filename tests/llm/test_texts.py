@@ -15,7 +15,7 @@ from arcrelief.llm import (
     chat, jaccard_join, lm_scoring, packing, piece_codec, quality_rules, queries, records,
     secret_scan, toxicity,
 )
-from arcrelief.llm.store import scratch_folder
+from arcrelief.llm.store import bounded_rows, scratch_folder
 
 DOCS = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, score STRING, rule STRING"
 
@@ -124,6 +124,15 @@ def test_toxicity(spark):
     assert (both["predicted"] == both["toxic"]).mean() >= 0.9
 
 
+def test_fitted_rows_are_bounded_where_a_labelled_id_repeats(spark):
+    table = spark.range(30_000).selectExpr("7L AS doc_id", "concat('text ', id) AS text")
+    assert 50 < bounded_rows(table, 200).count() < 400
+    assert bounded_rows(table, 30_000).count() == 30_000
+    labels = spark.createDataFrame([(7, 0, 1)], "doc_id LONG, quality INT, toxic INT")
+    assert quality_rules.fit(table, labels, most_labels=50) is not None
+    assert toxicity.score(table.limit(5), toxicity.fit(table, labels, most_labels=50)).count() == 5
+
+
 def test_toxicity_awkward(spark):
     table = docs(spark, AWKWARD)
     for labels in ([], [(4, 1)], [(4, 1), (5, 0), (None, 1), (2, None)]):
