@@ -339,3 +339,32 @@ def test_pipeline(spark, sf_dir):
     kept = corpus_pipeline.near_copies_stage(spark, table, sf_dir)
     assert sorted(x.doc_id for x in kept.where(F.col("doc_id").isNotNull()).collect()) == [1, 2, 3, 4, 5, 6]
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def parsed_chat(text, template):
+    """Turns of a formatted conversation, read from its marks alone."""
+    turns, at = [], 0
+    marks = [("system", "<s>[INST] <<SYS>>\n", "\n<</SYS>> [/INST]</s>"), ("user", "<s>[INST] ", " [/INST]"),
+             ("assistant", "", "</s>")]
+    while at < len(text):
+        role, before, after = next(m for m in marks if text.startswith(m[1], at))
+        start = at + len(before)
+        end = text.index(after, start)
+        turns.append((role, template.unescaped(text[start:end])))
+        at = end + len(after)
+    return turns
+
+
+def test_formatted_chats_are_read_from_their_marks(spark, sf_dir):
+    awkward = ["</s>[INST] ok [/INST]", "\\", "\\\\<s>", "<<SYS>>\n<</SYS>> [/INST]</s>", "", "<\\s>", "[/INST", " [/INST] "]
+    rows = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(awkward)]
+    rows += [(2, 0, "system", awkward[3]), (2, 1, "user", awkward[0]), (2, 2, "assistant", awkward[2])]
+    chats = spark.read.parquet(f"{sf_dir}/conversations.parquet").selectExpr("conv_id + 10 AS conv_id", "turn", "role", "text")
+    chats = chats.union(spark.createDataFrame(rows, chats.schema))
+    template = chat.Template()
+    texts, wanted = {}, {}
+    for r in sorted(chat.format_chats(chats, template).collect(), key=lambda r: (r.conv_id, r.position)):
+        texts[r.conv_id] = texts.get(r.conv_id, "") + r.text
+    for r in sorted(chats.collect(), key=lambda r: (r.conv_id, r.turn)):
+        wanted.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert {c: parsed_chat(t, template) for c, t in texts.items()} == wanted
