@@ -139,7 +139,7 @@ def rejected_features(spark, d):
         WHEN 7 THEN NULL ELSE feature END"""))
     properties = "source STRING, gid BIGINT, type STRING"
     bad = geojson.rejected_features(damaged, "feature", properties).groupBy("reason").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("gid").alias("gids"))
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("gid"), F.lit(0)).alias("gids"))
     good = geojson.from_features(damaged, "feature", properties)
     return bad.unionByName(good.selectExpr("'read' AS reason", "gid").groupBy("reason").agg(
         F.count(F.lit(1)).alias("n"), F.sum("gid").alias("gids")))

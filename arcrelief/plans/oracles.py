@@ -640,7 +640,7 @@ def oracle_sql() -> dict[str, str]:
               WHEN 4 THEN 'coordinates are not rings of numbers' WHEN 5 THEN 'no geometry'
               WHEN 6 THEN 'a ring is not closed or has fewer than three points'
               WHEN 7 THEN 'not a JSON object with a type' ELSE 'read' END AS reason,
-              count(*) AS n, (sum(gid) FILTER (gid % 11 NOT IN (1, 7)))::BIGINT AS gids FROM ent GROUP BY reason"""),
+              count(*) AS n, coalesce(sum(gid) FILTER (gid % 11 NOT IN (1, 7)), 0)::BIGINT AS gids FROM ent GROUP BY reason"""),
         "dropped_rings": _sql(
             BASE + TRANSFORM.format(q=COARSE) + QUANTISED + EDGES, """SELECT source, gid, ring::BIGINT AS ring,
               count(*) AS n_vertices, count(*) FILTER (x <> px OR y <> py) AS n_left

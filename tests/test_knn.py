@@ -39,15 +39,14 @@ def point(grp, x, y, i):
     return (grp, float(x), float(y), float(x), float(y), i)
 
 
-@pytest.mark.parametrize("k", [1, 3])
-def test_half_of_the_targets_in_one_spot(spark, k):
+@pytest.mark.parametrize("k, grouped", [(1, False), (3, True)])
+def test_half_of_the_targets_in_one_spot(spark, k, grouped):
     random.seed(1)
     targets = [point(1, random.uniform(0, 1e6), random.uniform(0, 1e6), i) for i in range(400)]
     targets += [point(1, 5e5 + random.random(), 5e5 + random.random(), 400 + i) for i in range(400)]
     queries = [(1, random.uniform(-1e5, 11e5), random.uniform(-1e5, 11e5)) for _ in range(60)]
     queries += [(1, 5e5 + random.uniform(-2, 3), 5e5 + random.uniform(-2, 3)) for _ in range(60)]
-    assert got(spark, queries, targets, k) == brute(queries, targets, k, True)
-    assert got(spark, queries, targets, k, False) == brute(queries, targets, k, False)
+    assert got(spark, queries, targets, k, grouped) == brute(queries, targets, k, grouped)
 
 
 def test_boxes_of_all_sizes_ties_and_groups(spark):
