@@ -74,7 +74,7 @@ def test_jaccard_join(spark, sf_dir, documents):
 def test_jaccard_join_small(spark):
     base = [f"w{i}" for i in range(40)]
     rows = [(100 + i, " ".join(["a", "b", *[f"c{j}" for j in range(i % 9)]])) for i in range(30)]
-    for overlap in (1, 2, 3, 7):
+    for overlap in (1, 7):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_groups(
             docs(spark, rows), size=2, percent=60, members=2, overlap=overlap).collect()}
         assert got == groups(dict(rows), 2, 60)
