@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame
 
 from . import geometry as g
 
+#: For joins on cells.  Rows are put into several cells first, and estimates don't follow that, so
+#: that neither side may be sent whole to the driver and all executors.
+SPREAD = ("merge",)
+
 
 def side(level: str = "level") -> str:
     return f"pow(2.0D, {level})"
@@ -92,7 +96,7 @@ def extent_pairs(
             f"{c} = {index(f'greatest({lbox[k]}, {rbox[k]})', '_side')}"
             for c, k in (("cx", "xmin"), ("cy", "ymin"))
         ]
-        joined = a.join(b.drop("_side"), ["level", "cx", "cy"])
+        joined = a.join(b.drop("_side").hint(*SPREAD), ["level", "cx", "cy"])
         return joined.filter(f"{g.boxes_overlap(lbox, rbox)} AND {' AND '.join(corner)}").select(*columns)
 
     own = "array(_own)"

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import checkpointed
 from .store import map_batches
 
 
@@ -25,7 +25,7 @@ def with_positions(df: DataFrame, key: str, order: list) -> DataFrame:
     """
     tie = F.monotonically_increasing_id()
     sorted_by = [key, *order, "_tie"]
-    placed = materialise(
+    placed = checkpointed(
         df.withColumn("_tie", tie).repartitionByRange(*sorted_by).sortWithinPartitions(*sorted_by)
         .drop("_tie"))
 

@@ -28,7 +28,7 @@ def _points_in(
 ) -> DataFrame:
     hits = (
         grid.on_levels(points, cut.levels)
-        .join(cut.on_cells(), ["level", "cx", "cy"])
+        .join(cut.on_cells().hint(*grid.SPREAD), ["level", "cx", "cy"])
         .filter("x BETWEEN f_xmin AND f_xmax AND y BETWEEN f_ymin AND f_ymax")
         .selectExpr(
             *points.columns, *keys, "base", "pieces",

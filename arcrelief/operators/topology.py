@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..functions import grid
 from ..functions.ids import with_dense_id
 from ..session import materialise
 
@@ -187,7 +188,7 @@ def junctions(entities: DataFrame) -> DataFrame:
 def _pieces(entities: DataFrame) -> DataFrame:
     """Rings cut at junctions: one row per piece with its points in canonical direction."""
     # stored, so that the join below shuffles both sides and AQE can split a hot position
-    nodes = materialise(junctions(entities).selectExpr("x", "y", "true AS node"))
+    nodes = materialise(junctions(entities).selectExpr("x", "y", "true AS node")).hint(*grid.SPREAD)
     keys = ["entity_id", "ring"]
     flagged = ring_vertices(entities).select(*keys, "pos", "x", "y").join(nodes, ["x", "y"], "left")
     # a ring came from one source row, so its group is bounded by that row
@@ -208,8 +209,7 @@ def _pieces(entities: DataFrame) -> DataFrame:
         " concat(slice(line, n + 1, size(line) - n), slice(line, 1, nodes[0] + 1)),"
         " slice(line, n + 1, nodes[i + 1] - n + 1)))"
     )
-    cut = rings.filter("size(nodes) > 0").selectExpr(*keys, f"posexplode_outer({stretch}) AS (pos, line)")
-    cut = cut.selectExpr(*keys, "pos", "line", "least(line, reverse(line)) AS points")
+    cut = f"transform({stretch}, l -> named_struct('line', l, 'points', least(l, reverse(l))))"
     # a ring without junctions is one closed arc starting at its least point
     def anchored(line: str) -> str:
         # the least point is found once, as the first field of the structs that are compared
@@ -221,15 +221,13 @@ def _pieces(entities: DataFrame) -> DataFrame:
         return f"array_min(transform({starts}, i -> {g.rotate(line, 'i')}))"
 
     free = (
-        rings.filter("size(nodes) = 0")
-        .selectExpr(*keys, f"{anchored('line')} AS line", "reverse(line) AS back")
-        .selectExpr(*keys, "line", f"{anchored('back')} AS back")
-        .selectExpr(
-            *keys, "0 AS pos",
-            f"{g.close_ring('line')} AS line", f"{g.close_ring('least(line, back)')} AS points",
-        )
+        f"transform(array(named_struct('ahead', {anchored('line')}, 'back', {anchored('reverse(line)')})),"
+        f" a -> named_struct('line', {g.close_ring('a.ahead')},"
+        f" 'points', {g.close_ring('least(a.ahead, a.back)')}))"
     )
-    return cut.unionByName(free).selectExpr(
+    # both kinds in one pass, so that rings are gathered once
+    pieces = rings.selectExpr(*keys, f"posexplode_outer(if(size(nodes) > 0, {cut}, {free})) AS (pos, piece)")
+    return pieces.selectExpr(*keys, "pos", "piece.line AS line", "piece.points AS points").selectExpr(
         *keys, "pos", "points", "points != line AS reversed",
         "points[0].x AS ax", "points[0].y AS ay", "points[1].x AS bx", "points[1].y AS by",
         "size(points) AS n",

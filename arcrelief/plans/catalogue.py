@@ -35,9 +35,7 @@ class Store:
 
     @cached_property
     def features(self) -> DataFrame:
-        spread = self.spark.sparkContext.defaultParallelism
-        features = derived.features(self.spark, self.sf_dir).repartition(spread, "gid")
-        return stage_table(features, "features", "source")
+        return stage_table(derived.features(self.spark, self.sf_dir), "features", "source")
 
     @property
     def parcels(self) -> DataFrame:

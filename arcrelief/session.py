@@ -45,14 +45,26 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+#: Stage files are as large as their rows in memory, as the planner broadcasts by size on disk, and
+#: in row groups of 8 MB, each of which a task of the next step can read alone.
+PLAIN = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": 8 << 20}
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` from a reliable checkpoint; its size is estimated from the tables it came from."""
+    _ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the files.
+    """Write ``df`` to the checkpoint folder and continue from the files.
 
     Used where a result is read more than once and must not change between the
-    reads (row ids, unsettled searches); it also survives the loss of executors.
+    reads (row ids, unsettled searches); it also survives the loss of executors.  The files are
+    Parquet, so that what follows is planned for their size, not for an estimate carried on from
+    the first table, and is split for all cores, however few tasks wrote them.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return stage_table(df, "stage")
 
 
 def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -62,6 +74,6 @@ def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     partitions it needs, and filters reach the scan.
     """
     path = scratch_path(df.sparkSession, name)
-    writer = df.write
+    writer = df.write.options(**PLAIN)
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -32,6 +32,7 @@ INSET = 1
 
 
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # few bytes become many: the rows are spread before polygons are made of them
     return spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
         "p_partkey AS k",
         "p_partkey % 50 AS c",
@@ -39,7 +40,7 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lower(p_type) AS type",
         "CASE WHEN p_size % 12 = 0 THEN 'split' WHEN p_size % 8 = 0 THEN 'L'"
         " WHEN p_size % 4 = 0 THEN 'sq' ELSE 'none' END AS shape",
-    )
+    ).repartition(spark.sparkContext.defaultParallelism, "k")
 
 
 def _ring(offsets: list[tuple[str, str]]) -> str:
