@@ -1,8 +1,8 @@
 """Nearest-target joins (k = 1), exact at any distance.
 
-* Groups of at most ``DIRECT`` targets (a patch of points, the edges of a building) are kept
-  as one row with an array; each query evaluates the array of its group and no pairs are
-  produced.
+* Within groups of at most ``DIRECT`` targets (a patch of points, the edges of a building) each
+  query meets all targets of its group.  Pairs only live inside the join: the least distance is a
+  hash aggregate right behind it, and a second join finds what lies at that distance.
 * Elsewhere a query looks into the grid cells within half a cell side around it (``near``).
   A target at most that far away settles it, as nothing closer can exist.
 * The unsettled rest walks down a pyramid of ever smaller cells (``far``).  Each pyramid
@@ -116,22 +116,33 @@ def _entry(order: tuple[str, ...], distance: Distance, prefix: str = "") -> str:
 
 def _direct(queries, targets, group, order, distance) -> DataFrame:
     used = list(dict.fromkeys([*distance.columns, *order]))
-    blocks = targets.groupBy(*group).agg(F.collect_list(F.struct(*used)).alias("_block"))
-    shared, blocks, keys = _spread(queries, blocks, list(group))
-    entry = _entry(order, distance, "t.")
-    return shared.join(blocks, keys, "left").selectExpr(
-        *queries.columns, f"array_min(transform(_block, t -> {entry})) AS {BEST}"
+    shared, met, keys = _spread(queries, targets.select(*group, F.struct(*used).alias("_t")), list(group))
+    d2 = distance.sql("_t.")
+    # a distance that is unknown comes before all others
+    least = f"if(count_if(_t IS NOT NULL AND {d2} IS NULL) > 0, CAST(NULL AS DOUBLE), min({d2})) AS _least"
+    pairs = shared.join(met, keys, "left")
+    reached = pairs.groupBy(*shared.columns).agg(F.expr(least))
+    own = met.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = " AND ".join([*[f"{k} = _of_{k}" for k in keys], f"{d2} <=> _least"])
+    fields = ", ".join(f"'{c}', _t.{c}" for c in order)
+    found = (
+        reached.join(own, F.expr(same), "left").groupBy(*shared.columns, "_least")
+        .agg(F.expr(f"min(if(_t IS NULL, NULL, named_struct({fields}))) AS _first"))
+    )
+    entry = "".join(f", '{c}', _first.{c}" for c in order)
+    return found.selectExpr(
+        *queries.columns, f"if(_first IS NULL, NULL, named_struct('d2', _least{entry})) AS {BEST}"
     )
 
 
-def _spread(queries, blocks, keys) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Gives groups with very many queries several copies of their one block row.
+def _spread(queries, targets, keys) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Gives groups with very many queries several copies of their targets, up to ``DIRECT`` rows each.
 
-    Blocks come out of an aggregate on the join key, where AQE cannot split a hot key.
+    The aggregate behind the join needs a query's pairs in one place, so AQE cannot split a hot key.
     """
     loads = queries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_load"))
     if (grid.summary(loads, "max(_load) AS n").n or 0) <= HOT:
-        return queries, blocks, keys
+        return queries, targets, keys
     shares = materialise(
         loads.filter(f"_load > {HOT}").selectExpr(*keys, f"ceil(_load / {HOT}) AS _shares")
     )
@@ -139,8 +150,8 @@ def _spread(queries, blocks, keys) -> tuple[DataFrame, DataFrame, list[str]]:
     shared = queries.join(shares, keys, "left").selectExpr(
         *queries.columns, f"pmod(xxhash64({row}), coalesce(_shares, 1)) AS _share"
     )
-    copied = blocks.join(shares, keys, "left").selectExpr(
-        *keys, "_block", "explode_outer(sequence(0L, coalesce(_shares, 1) - 1)) AS _share"
+    copied = targets.join(shares, keys, "left").selectExpr(
+        *keys, "_t", "explode_outer(sequence(0L, coalesce(_shares, 1) - 1)) AS _share"
     )
     return shared, copied, [*keys, "_share"]
 
@@ -180,7 +191,7 @@ def _near(queries, targets, group, order, distance) -> DataFrame:
         for a in "xy"
     )
     hits = (
-        probes.join(placed, [*group, "level", "cx", "cy"])
+        probes.join(placed.hint(*grid.SPREAD), [*group, "level", "cx", "cy"])
         .filter(f"{distance.sql('')} <= {reach} * {reach} AND {first}")
         .groupBy(*queries.columns)
         .agg(F.expr(f"min({_entry(order, distance)}) AS {BEST}"))
