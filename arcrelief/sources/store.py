@@ -84,10 +84,12 @@ def read_arcs(spark: SparkSession, path: str, transform: Transform | None,
     rows = read_rows(spark, path, "arc")
     if buckets is not None:
         rows = rows.where(F.col("bucket").isin(buckets))
-    parsed = rows.select(
-        F.col("id").alias("arc_id"), "bucket",
-        F.from_json("data", "array<array<double>>").alias("p"),
-    ).where("size(p) > 1 AND forall(p, c -> size(c) BETWEEN 2 AND 3)").selectExpr(
+    # as the element of an array a row is parsed once, not again for the condition
+    readable = "filter(array(from_json(data, 'array<array<double>>')), p -> size(p) > 1" \
+        " AND forall(p, c -> size(c) BETWEEN 2 AND 3))"
+    parsed = rows.selectExpr("id AS arc_id", "bucket", f"explode_outer({readable}) AS p").where(
+        "p IS NOT NULL"
+    ).selectExpr(
         "arc_id", "bucket",
         "transform(p, c -> named_struct('x', c[0], 'y', c[1], 'z', get(c, 2))) AS points")
     summed = transform is not None
