@@ -45,28 +45,32 @@ def shared_walls(
         """Distance from a point to the edge's line, times the edge's length."""
         return f"abs(double({g.cross_to(e, x, y)}))"
 
-    def end(x: str, y: str, other: str) -> str:
-        return (
-            f"named_struct('t', {along(x, y)}, 'x', {x}, 'y', {y},"
-            f" 'off', {off(other, x, y)}, 'length', {length(other)})"
-        )
-
+    # plain numbers only, and a generator that keeps the filter behind them: the filter would else repeat
+    # all of them for each of their uses
+    numbers = {
+        "d1": along("f.x1", "f.y1"), "d2": along("f.x2", "f.y2"), "d": along("e.x2", "e.y2"),
+        "off1": off("e", "f.x1", "f.y1"), "off2": off("e", "f.x2", "f.y2"),
+        "off3": off("f", "e.x1", "e.y1"), "off4": off("f", "e.x2", "e.y2"),
+        "el": length("e"), "fl": length("f"),
+    }
+    fields = ", ".join(f"'{name}', {value}" for name, value in numbers.items())
     # an end of the stretch is a vertex of one edge; what counts is how far it is from the other one
-    ends = f"array_sort(array({end('f.x1', 'f.y1', 'e')}, {end('f.x2', 'f.y2', 'e')}))"
-    first, last = end("e.x1", "e.y1", "f"), end("e.x2", "e.y2", "f")
+    low, high = "least(d1, d2)", "greatest(d1, d2)"
+    first = f"if({low} > 0, if(d2 < d1, off2, off1) <= {t} * el, off3 <= {t} * fl)"
+    last = f"if({high} < d, if(d2 < d1, off1, off2) <= {t} * el, off4 <= {t} * fl)"
+    stretch = f"(if({high} < d, {high}, d) - if({low} > 0, {low}, d - d))"
+
+    def end(v: str, inner: str, swapped: str, straight: str, other: str) -> str:
+        return f"if({inner}, if(d2 < d1, f.{v}{swapped}, f.{v}{straight}), e.{v}{other}) AS {v}{other}"
+
     return (
-        pairs.selectExpr(*terrain_keys, *building_keys, "e", "f", f"{ends} AS _f")
-        .selectExpr(
-            *terrain_keys, *building_keys, f"{length('e')} AS _length",
-            f"if(_f[0].t > 0, _f[0], {first}) AS a",
-            f"if(_f[1].t < {along('e.x2', 'e.y2')}, _f[1], {last}) AS b",
-        )
-        .filter(
-            f"a.off <= {t} * a.length AND b.off <= {t} * b.length"
-            f" AND b.t > a.t AND double(b.t - a.t) > {t} * _length"
-        )
+        pairs.select(*terrain_keys, *building_keys, "e", "f")
+        .selectExpr("*", f"inline(array(named_struct({fields})))")
+        .filter(f"{stretch} > 0 AND double({stretch}) > {t} * el AND {first} AND {last}")
         .selectExpr(
-            *terrain_keys, *building_keys, "a.x AS x1", "a.y AS y1", "b.x AS x2", "b.y AS y2"
+            *terrain_keys, *building_keys,
+            end("x", f"{low} > 0", "2", "1", "1"), end("y", f"{low} > 0", "2", "1", "1"),
+            end("x", f"{high} < d", "1", "2", "2"), end("y", f"{high} < d", "1", "2", "2"),
         )
     )
 
