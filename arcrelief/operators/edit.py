@@ -6,6 +6,7 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -222,13 +223,10 @@ def weigh_arcs(arcs: DataFrame) -> DataFrame:
             points = batch.column(1)
             sizes = points.value_lengths().to_numpy()
             flat = points.flatten()
-            xs, ys = (flat.field(a).to_numpy(zero_copy_only=False).astype(float).tolist() for a in "xy")
-            weights, start = [], 0
-            for n in sizes.tolist():
-                weights.append(_weights(xs[start:start + n], ys[start:start + n]))
-                start += n
+            xs, ys = (flat.field(a).to_numpy(zero_copy_only=False).astype(float) for a in "xy")
+            weights = _weights_of(xs, ys, sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), points, pa.array(weights, pa.list_(pa.float64()))],
+                [batch.column(0), points, weights],
                 ["arc_id", "points", "weights"])
 
     kind = arcs.schema["points"].dataType.simpleString()
@@ -278,6 +276,53 @@ def simplify_topology(topology: Topology, min_area: float) -> Topology:
     return replace(topology, arcs=materialise(arcs))
 
 
+_TOGETHER = 32  # vertices of arcs that are weighed together
+
+
+def _weights_of(xs: np.ndarray, ys: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """``_weights`` of arcs that follow each other; short arcs of one size are weighed together."""
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    weights = np.full(len(xs), np.inf)
+    plain = np.ones(len(xs) + 1, bool)
+    plain[:-1] = (np.abs(xs) < 1e100) & (np.abs(ys) < 1e100)  # not so for unknown numbers
+    odd = np.concatenate([[0], np.cumsum(~plain[:-1])])
+    together = (sizes <= _TOGETHER) & (odd[starts[1:]] == odd[starts[:-1]])
+    for n in np.unique(sizes[together & (sizes > 2)]):
+        chosen = starts[:-1][together & (sizes == n)]
+        at = chosen[:, None] + np.arange(n)
+        weights[at] = _weights_together(xs[at], ys[at])
+    for i in np.flatnonzero(~together & (sizes > 2)):
+        a, b = starts[i], starts[i + 1]
+        weights[a:b] = _weights(xs[a:b].tolist(), ys[a:b].tolist())
+    return pa.ListArray.from_arrays(starts, pa.array(weights))
+
+
+def _weights_together(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    m, n = xs.shape
+    rows = np.arange(m)
+    left, right = (np.tile(np.arange(n) + step, (m, 1)) for step in (-1, 1))
+    weight, current = np.full((m, n), np.inf), np.full((m, n), np.inf)
+
+    def area(some: np.ndarray, i: np.ndarray) -> np.ndarray:
+        a, c = left[some, i], right[some, i]
+        xa, ya = xs[some, a], ys[some, a]
+        return np.abs((xa - xs[some, c]) * (ys[some, i] - ya) - (xa - xs[some, i]) * (ys[some, c] - ya)) / 2
+
+    for i in range(1, n - 1):
+        current[:, i] = area(rows, np.full(m, i))
+    largest = np.zeros(m)
+    for _ in range(n - 2):
+        i = current.argmin(axis=1)
+        largest = weight[rows, i] = np.maximum(largest, current[rows, i])
+        current[rows, i] = np.inf
+        before, after = left[rows, i], right[rows, i]
+        right[rows, before], left[rows, after] = after, before
+        for j in (before, after):
+            some = np.flatnonzero(current[rows, j] < np.inf)
+            current[some, j[some]] = area(some, j[some])
+    return weight
+
+
 def _weights(xs, ys) -> list[float]:
     """Effective area per vertex; the two ends are infinite."""
     n = len(xs)

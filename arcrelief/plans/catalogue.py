@@ -586,9 +586,12 @@ def mesh_quality(spark, d):
     inside = (f"({ax} * {ax} + {ay} * {ay}) * ({bx} * {cy} - {cx} * {by})"
               f" - ({bx} * {bx} + {by} * {by}) * ({ax} * {cy} - {cx} * {ay})"
               f" + ({cx} * {cx} + {cy} * {cy}) * ({ax} * {by} - {bx} * {ay}) > 0")
-    return triangles.groupBy("entity_id").agg(
-        F.expr("count(*) AS n_triangles"), F.expr(f"every(NOT exists(vs, v -> {inside})) AS all_empty"),
-        F.expr("every(forall(corners, p -> array_contains(vs, p))) AS all_carried"))
+    # a row for each triangle and vertex, as functions over arrays aren't compiled
+    carried = " AND ".join(f"array_contains(vs, corners[{i}])" for i in range(3))
+    met = triangles.selectExpr("entity_id", "corners", f"{carried} AS carried", "posexplode(vs) AS (i, v)")
+    return met.groupBy("entity_id").agg(
+        F.expr("count_if(i = 0) AS n_triangles"), F.expr(f"every(NOT ({inside})) AS all_empty"),
+        F.expr("every(carried) AS all_carried"))
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
