@@ -111,7 +111,7 @@ class Encoder:
     Memory is bounded by the two sizes (entries of about 200 bytes).
     """
 
-    def __init__(self, path: str = BYTE_BPE, chunks: int = 700_000, pieces: int = 200_000):
+    def __init__(self, path: str = BYTE_BPE, chunks: int = 250_000, pieces: int = 200_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)

@@ -368,3 +368,16 @@ def test_formatted_chats_are_read_from_their_marks(spark, sf_dir):
     for r in sorted(chats.collect(), key=lambda r: (r.conv_id, r.turn)):
         wanted.setdefault(r.conv_id, []).append((r.role, r.text))
     assert {c: parsed_chat(t, template) for c, t in texts.items()} == wanted
+
+
+def test_an_encoder_remembers_little_and_forgets_without_harm():
+    from arcrelief.llm import tokens
+
+    encoder = tokens.Encoder()
+    words = [f"w{i}x" for i in range(260_000)]
+    for start in range(0, len(words), 10_000):
+        encoder.encode(" ".join(words[start:start + 10_000]))
+    assert 0 < len(encoder.chunks) <= 250_000 and len(encoder.pieces) <= 200_000
+    text = " ".join(words[:50] + words[-50:])
+    assert np.frombuffer(encoder.encode(text), "<u2").tolist() == encoder.library.encode(
+        text, add_special_tokens=False).ids
