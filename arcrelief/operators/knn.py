@@ -1,6 +1,7 @@
 """The k nearest targets of each query, exact, over cells that follow the density.
 
-Targets are sorted into a quadtree from the top: a cell with more than ``leaf`` targets is cut into
+In a group of a few leaves' targets a query meets them all, as one array, without any search.
+Others are sorted into a quadtree from the top: a cell with more than ``leaf`` targets is cut into
 ``2 ** _STEP`` by ``2 ** _STEP`` smaller ones, again and again, so a dense spot costs a few more
 rounds over its own targets and never a full cell.  Queries walk down the tree.  A cell's
 extent bounds the distances to all its targets from below and above; the k-th smallest upper
@@ -20,6 +21,7 @@ from .nearest import TO_POINT, Distance
 
 _STEP = 2  # levels of the quadtree in one round
 _DEEPEST = 48  # levels; targets nearer to each other than that share a leaf
+_DIRECT = 4  # leaves of targets that a group may have without being cut
 _SMALL = 10_000  # cells of a round that are broadcast
 NEAREST = "nearest"
 
@@ -41,50 +43,79 @@ def nearest_k(
     each.  With a ``group`` only targets of the query's own group are near; NULL groups have none.
     A query without targets gets an empty array.
     """
-    keys = list(group)
+    keys, limit = list(group), _DIRECT * max(leaf, k)
+    used = list(dict.fromkeys([*keys, *g.SIDES, *distance.columns, *order]))
+    # targets without a place are near to nothing
+    targets = materialise(targets.select(*used).filter("xmin IS NOT NULL AND ymin IS NOT NULL"))
+    extent = [f"double({fn}({s})) AS {s}" for s, fn in zip(g.SIDES, ("min", "min", "max", "max"))]
+    sizes = targets.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *map(F.expr, extent))
+    sizes = materialise(sizes) if keys else sizes
     span = grid.summary(
-        targets, "double(min(xmin)) AS x0", "double(min(ymin)) AS y0",
-        "double(max(xmax)) AS x1", "double(max(ymax)) AS y1",
-    )
-    types = dict(targets.dtypes)
-    fields = "".join(f", {c}: {types[c]}" for c in order)
+        sizes, "max(n) AS n", "min(xmin) AS x0", "min(ymin) AS y0", "max(xmax) AS x1", "max(ymax) AS y1")
+    types = targets.schema
+    fields = "".join(f", {c}: {types[c].dataType.simpleString()}" for c in order)
     none = f"CAST(array() AS ARRAY<STRUCT<d2: DOUBLE{fields}>>)"
     if span.x0 is None:
         return queries.selectExpr("*", f"{none} AS {NEAREST}")
+    if keys and span.n <= limit:
+        return _direct(queries, targets, k, keys, order, distance, none)
     side = max(span.x1 - span.x0, span.y1 - span.y0) or 1.0
-    rows = _placed(targets, k, keys, order, distance, side)
-    nodes, leaves = _tree(rows, keys, (span.x0, span.y0, side), max(leaf, 4 * k))
+    if not keys:
+        rows = materialise(_counted(targets, k, keys, order, distance).withColumn("depth", F.lit(0)))
+        return _by_tree(queries, rows, k, keys, order, distance, none, (span.x0, span.y0, side), leaf)
+    size = "greatest(xmax - xmin, ymax - ymin, 1e-9D)"
+    big = materialise(sizes.filter(f"n > {limit}").selectExpr(
+        *keys, f"int(least({_DEEPEST}, greatest(0, floor(log2({side!r}D / {size}))))) AS depth"))
+    few = _direct(
+        queries.join(big, keys, "left_anti"), targets.join(big, keys, "left_anti"), k, keys, order, distance, none)
+    rows = materialise(
+        _counted(targets.join(big, keys, "left_semi"), k, keys, order, distance).join(big, keys))
+    many = _by_tree(
+        queries.join(big, keys, "left_semi"), rows, k, keys, order, distance, none, (span.x0, span.y0, side), leaf)
+    return few.unionByName(many.select(*few.columns))
+
+
+def _direct(queries, targets, k, keys, order, distance, none) -> DataFrame:
+    """A query meets its group as one array; for groups of a bounded number of targets."""
+    kept = [c for c in targets.columns if c not in keys]
+    blocks = targets.groupBy(*keys).agg(F.collect_list(F.struct(*kept)).alias("block"))
+    entry = "".join(f", '{c}', t.{c}" for c in order)
+    # sorted in compiled code, which array_sort isn't
+    found = f"slice(sort_array(transform(block, t -> named_struct('d2', {distance.sql('t.')}{entry}))), 1, {k})"
+    known = " AND ".join(f"{c} IS NOT NULL" for c in queries.columns)
+    return queries.join(blocks, keys, "left").selectExpr(
+        *queries.columns, f"if(block IS NOT NULL AND {known}, {found}, {none}) AS {NEAREST}")
+
+
+def _by_tree(queries, rows, k, keys, order, distance, none, frame, leaf) -> DataFrame:
+    nodes, leaves = _tree(rows, keys, frame, max(leaf, 4 * k))
     found = _walk(queries, nodes, keys, k)
     entry = ", ".join(f"'{c}', t.{c}" for c in order)
+    # only the first k are repeated for their copies
     heap = (
-        f"slice(array_sort(flatten(transform(block, t -> array_repeat(named_struct("
-        f"'d2', {distance.sql('t.')}, {entry}), t.copies)))), 1, {k})"
+        f"slice(sort_array(transform(block, t -> named_struct("
+        f"'d2', {distance.sql('t.')}, {entry}, 'copies', t.copies))), 1, {k})"
     )
+    first = f"slice(sort_array(flatten(collect_list(heap))), 1, {k})"
+    near = f"slice(flatten(transform(first, t -> array_repeat(named_struct('d2', t.d2, {entry}), t.copies))), 1, {k})"
     best = (
         found.join(leaves, [*keys, "round", "cx", "cy"])
         .selectExpr(*queries.columns, f"{heap} AS heap")
         .groupBy(*queries.columns)
-        .agg(F.expr(f"slice(array_sort(flatten(collect_list(heap))), 1, {k}) AS {NEAREST}"))
+        .agg(F.expr(f"{first} AS first"))
+        .selectExpr(*queries.columns, f"{near} AS {NEAREST}")
     )
     return queries.join(best, queries.columns, "left").selectExpr(
         *queries.columns, f"coalesce({NEAREST}, {none}) AS {NEAREST}"
     )
 
 
-def _placed(targets, k, keys, order, distance, side) -> DataFrame:
-    """Targets with copies counted and each group's level; a position keeps its first k in order."""
+def _counted(targets, k, keys, order, distance) -> DataFrame:
+    """Targets with copies counted; a position keeps its first k in order."""
     where = list(dict.fromkeys([*keys, *g.SIDES, *distance.columns]))
-    used = list(dict.fromkeys([*where, *order]))
     first = Window.partitionBy(*where).orderBy(*order)
-    counted = targets.groupBy(*used).agg(F.expr(f"int(least(count(*), {k})) AS copies")).select(
+    return targets.groupBy(*targets.columns).agg(F.expr(f"int(least(count(*), {k})) AS copies")).select(
         "*", F.row_number().over(first).alias("_n")).filter(f"_n <= {k}").drop("_n")
-    if not keys:
-        return materialise(counted.withColumn("depth", F.lit(0)))
-    counted = materialise(counted)
-    extent = "greatest(double(max(xmax)) - min(xmin), double(max(ymax)) - min(ymin))"
-    level = f"int(least({_DEEPEST}, greatest(0, floor(log2({side!r}D / greatest({extent}, 1e-9D)))))) AS depth"
-    levels = materialise(counted.groupBy(*keys).agg(F.expr(level)))
-    return materialise(counted.join(levels, keys))
 
 
 def _tree(rows, keys, frame, leaf) -> tuple[list[tuple[DataFrame, int, bool]], DataFrame]:

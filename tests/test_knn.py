@@ -5,7 +5,7 @@ import random
 import pytest
 from conftest import cloud
 
-from arcrelief.operators import heights
+from arcrelief.operators import heights, knn
 from arcrelief.operators.knn import NEAREST, nearest_k
 from arcrelief.operators.nearest import TO_BOX
 
@@ -75,3 +75,21 @@ def test_highest_of_the_nearest(spark):
     found = {(r.x, r.patch_id): (r.n, r.d2, r.z) for r in
              heights.highest_of_nearest(placed, points, 2).collect()}
     assert found == {(0, 1): (2, 4.0, 9), (10, 1): (2, 64.0, 9), (0, 2): (0, None, None)}
+
+
+def test_small_groups_are_searched_without_a_tree(spark, monkeypatch):
+    random.seed(4)
+    targets = [point(grp, random.randrange(50), random.randrange(50), i) for i in range(300) for grp in [i % 30]]
+    targets += [point(1, 7, 7, 9)] * 3 + [(2, None, 1.0, None, 1.0, 5), (None, 1.0, 1.0, 1.0, 1.0, 5)]
+    queries = [(grp, float(random.randrange(60)), float(random.randrange(60))) for grp in [*range(32), None]]
+    held = []
+    tree = knn._tree
+    monkeypatch.setattr(knn, "_tree", lambda rows, *rest: held.append(rows.count()) or tree(rows, *rest))
+    known = [t for t in targets if t[1] is not None]
+    assert got(spark, queries, targets, 5) == brute(queries, known, 5, True)
+    assert held == []
+    # of a mixture only the large group is cut into cells
+    more = [point(77, i % 40, i // 40, i) for i in range(400)]
+    queries += [(77, float(i), 3.5) for i in range(-3, 12)]
+    assert got(spark, queries, targets + more, 5) == brute(queries, known + more, 5, True)
+    assert held == [400]
