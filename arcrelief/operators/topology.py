@@ -188,19 +188,16 @@ def junctions(entities: DataFrame) -> DataFrame:
 def _pieces(entities: DataFrame) -> DataFrame:
     """Rings cut at junctions: one row per piece with its points in canonical direction."""
     # stored, so that the join below shuffles both sides and AQE can split a hot position
-    nodes = materialise(junctions(entities).selectExpr("x", "y", "true AS node")).hint(*grid.SPREAD)
+    nodes = materialise(junctions(entities).select("x", "y")).hint(*grid.SPREAD)
     keys = ["entity_id", "ring"]
-    flagged = ring_vertices(entities).select(*keys, "pos", "x", "y").join(nodes, ["x", "y"], "left")
-    # a ring came from one source row, so its group is bounded by that row
-    rings = flagged.groupBy(*keys).agg(
-        F.expr(
-            "array_sort(collect_list(named_struct("
-            "'pos', pos, 'x', x, 'y', y, 'node', coalesce(node, false)))) AS v"
-        )
-    ).selectExpr(
-        *keys,
-        "transform(v, p -> named_struct('x', p.x, 'y', p.y)) AS line",
-        "transform(filter(v, p -> p.node), p -> p.pos) AS nodes",
+    # only the junctions of a ring are gathered; its points stay together in their row
+    lines = entities.selectExpr("entity_id", "posexplode_outer(rings) AS (ring, line)")
+    vertices = lines.selectExpr(*keys, "posexplode_outer(line) AS (pos, p)").selectExpr(
+        *keys, "pos", "p.x AS x", "p.y AS y")
+    met = vertices.join(nodes, ["x", "y"]).groupBy(*keys).agg(F.expr("sort_array(collect_list(pos)) AS nodes"))
+    rings = lines.join(met, keys, "left").selectExpr(
+        *keys, "transform(line, p -> named_struct('x', p.x, 'y', p.y)) AS line",
+        "coalesce(nodes, CAST(array() AS ARRAY<INT>)) AS nodes",
     )
     # from each junction to the next one around the ring, both included
     # a piece that runs over the ring's end goes on at its start; each copies its own points only

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import grid
+from ..session import materialise
 from .nearest import BEST, TO_EDGE, nearest_in_group
 from .topology import border_arcs
 
@@ -129,9 +130,11 @@ def closest_on_boundary(
     ring.  New columns ``near_1`` and ``near_2`` are structs (x, y).  Each end looks for
     the nearest edge of its own building, ties going to the first one.
     """
-    edges = footprints.selectExpr(
+    # both sides are read several times
+    walls = materialise(walls.select(*wall_keys, *keys, "x1", "y1", "x2", "y2"))
+    edges = materialise(footprints.selectExpr(
         *keys, "ring", f"posexplode_outer({g.ring_edges('line')}) AS (edge, e)"
-    ).selectExpr("*", *g.edge_bbox("e"))
+    ).selectExpr("*", *g.edge_bbox("e")))
     sizes = edges.groupBy(*keys).agg(
         F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
         F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"), F.count(F.lit(1)).alias("n"),

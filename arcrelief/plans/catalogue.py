@@ -534,7 +534,8 @@ def wall_segments(spark, d):
 
 def _footprints(spark, d) -> DataFrame:
     buildings = store(spark, d).topology.entities.filter(pipeline.BUILDING)
-    named = buildings.selectExpr("entity_id AS entity_b", "rings")
+    # ids follow the source, so a few tasks read all buildings
+    named = buildings.selectExpr("entity_id AS entity_b", "rings").repartition("entity_b")
     return walls.inset_rings(named, ["entity_b"], derived.INSET)
 
 
